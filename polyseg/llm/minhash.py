@@ -9,7 +9,7 @@ numpy over all rows of a batch that have not stopped.
 
 Linking.  Rows are first reduced to classes with the same word sequence (a third of all rows
 may be one text).  Classes meet in 24 bands of 4 slots: a pair with similarity 0.85 misses all
-bands with probability under 3e-8.  Within a bucket no list of pairs is made: a hub (the member
+bands with probability under 3e-8 (at 0.80, the pipeline's threshold: 3e-6).  Within a bucket no list of pairs is made: a hub (the member
 whose buckets are largest, usually the text the others were copied from) is compared with the
 rest, verified links are joined, and only buckets that still hold several components go on;
 after ``STAR_ROUNDS`` such rounds the remaining members of different components are compared
@@ -158,7 +158,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _estimate(least: float):
+def _estimate(percent: int):
     """Pairs of members of two blocks of a bucket, in different components, that the signatures don't rule out."""
 
     def run(key, left, right):
@@ -170,9 +170,9 @@ def _estimate(least: float):
             sr = np.stack([np.frombuffer(x, np.uint32) for x in right["sig"]])
             lr, nr, idr = right["c"].to_numpy(), right["n"].to_numpy(), right["doc_id"].to_numpy()
             for sig, label, n, i in zip(sl, left["c"], left["n"], left["doc_id"], strict=True):
-                near = (lr != label) & (idr != i) & (100 * np.minimum(nr, n) >= PERCENT * np.maximum(nr, n))
+                near = (lr != label) & (idr != i) & (100 * np.minimum(nr, n) >= percent * np.maximum(nr, n))
                 at = np.flatnonzero(near)
-                at = at[(sr[at] == sig).mean(axis=1) >= least]
+                at = at[(sr[at] == sig).mean(axis=1) >= percent / 100 - TESTED]
                 out_a += [np.minimum(idr[at], i)]
                 out_b += [np.maximum(idr[at], i)]
         return pd.DataFrame({"a": np.concatenate(out_a) if out_a else [], "b": np.concatenate(out_b) if out_b else []}).drop_duplicates().astype("int64")
@@ -220,7 +220,7 @@ def near_components(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     keys = ["band", "key", "i", "j"]
     columns = [*keys, "doc_id", "n", "c", "sig"]
     left, right = (x.select(*(F.col(c).alias(c) for c in columns)).groupBy(*keys) for x in (left, right))
-    pairs = left.cogroup(right).applyInPandas(_estimate(percent / 100 - TESTED), "a long, b long").distinct()
+    pairs = left.cogroup(right).applyInPandas(_estimate(percent), "a long, b long").distinct()
     found = verified(pairs, sets, percent).checkpoint()
     return components(edges.union(found))
 

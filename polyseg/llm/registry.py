@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from .decontamination import op7_decontamination
+from .minhash import op10_minhash
 from .mixing import op1_mixing
 from .sharding import op6_sharding
+from .toxicity import op5_toxicity
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
+    "op7_decontamination": op7_decontamination,
+    "op10_minhash": op10_minhash,
 }
 
 #: None of the methods named can be written as SQL over whole tables; tests hold them to brute force.

@@ -26,6 +26,8 @@ def _inverse(a: int) -> int:
 BASE = 0x9E3779B97F4A7C15 | 1
 _SEP = np.zeros(256, bool)
 _SEP[[0x20, 9, 10, 11, 12, 13]] = True
+#: For words() by letters only: every byte that is neither an ASCII letter nor part of a wider character.
+NON_LETTERS = ~np.isin(np.arange(256), [*range(65, 91), *range(97, 123), *range(128, 256)])
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 with np.errstate(over="ignore"):
@@ -65,13 +67,13 @@ def pieces(column: pa.Array, most: int = PIECE) -> Iterator[tuple[int, int, np.n
         start = end
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, word offsets per row): every run of non-white-space bytes inside its row."""
+def words(data: np.ndarray, off: np.ndarray, sep: np.ndarray = _SEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, word offsets per row): every run of bytes that don't separate, inside its row."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
     w = np.zeros(n + 1, bool)
-    w[:n] = ~_SEP[data]
+    w[:n] = ~sep[data]
     cut = np.zeros(n + 1, bool)
     cut[off] = True
     start = w[:n].copy()
