@@ -13,7 +13,8 @@ bands with probability under 3e-8 (at 0.80, the pipeline's threshold: 3e-6).  Wi
 whose buckets are largest, usually the text the others were copied from) is compared with the
 rest, verified links are joined, and only buckets that still hold several components go on;
 after ``STAR_ROUNDS`` such rounds the remaining members of different components are compared
-exhaustively, in blocks, after a signature test whose loss is below 1e-8.  Every link that
+exhaustively and exactly, block against block of what their buckets connect (pairs that meet in
+``MEET`` bands), and only a forest of the links found leaves a task.  Every link that
 counts is confirmed on the full shingle sets: ``100 * |A & B| >= percent * |A | B|``.
 Components come from iterated minimum labels over the verified edges (checkpointed each round).
 
@@ -40,8 +41,8 @@ SLOTS, ROWS_PER_BAND = 96, 4
 BANDS = SLOTS // ROWS_PER_BAND
 WORDS, PERCENT = 5, 85
 STAR_ROUNDS = 3
-BLOCK = 512
-TESTED = 0.22  # below percent / 100: six standard deviations of the estimate
+BLOCK = 1024
+MEET = 2  # bands two members share at least: at 0.85 fewer than that has probability 6e-7
 
 
 def superminhash(g: np.ndarray, off: np.ndarray, m: int = SLOTS) -> np.ndarray:
@@ -111,8 +112,8 @@ def _band_rows(batches):
                     key = mix64(key * U(0x100000001B3) + bands[:, :, i])
                 key = mix64(key + np.arange(BANDS, dtype=U) * U(0x9E3779B97F4A7C15))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(np.diff(so)[at], pa.int64()), pa.array([x.tobytes() for x in (sig[at] >> U(40)).astype(np.uint32)], pa.binary()), pa.array(list(key.view(np.int64)), pa.list_(pa.int64()))],
-                ["doc_id", "n", "sig", "bands"],
+                [ids, pa.array(np.diff(so)[at], pa.int64()), pa.array(list(key.view(np.int64)), pa.list_(pa.int64()))],
+                ["doc_id", "n", "bands"],
             )
 
 
@@ -158,24 +159,44 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _estimate(percent: int):
-    """Pairs of members of two blocks of a bucket, in different components, that the signatures don't rule out."""
+def _block_edges(percent: int):
+    """Links between members of two blocks of a candidate group: exact, and only a forest of them."""
 
     def run(key, left, right):
         import pandas as pd
 
-        out_a, out_b = [], []
+        a, b = [], []
         if len(left) and len(right):
-            sl = np.stack([np.frombuffer(x, np.uint32) for x in left["sig"]])
-            sr = np.stack([np.frombuffer(x, np.uint32) for x in right["sig"]])
-            lr, nr, idr = right["c"].to_numpy(), right["n"].to_numpy(), right["doc_id"].to_numpy()
-            for sig, label, n, i in zip(sl, left["c"], left["n"], left["doc_id"], strict=True):
-                near = (lr != label) & (idr != i) & (100 * np.minimum(nr, n) >= percent * np.maximum(nr, n))
-                at = np.flatnonzero(near)
-                at = at[(sr[at] == sig).mean(axis=1) >= percent / 100 - TESTED]
-                out_a += [np.minimum(idr[at], i)]
-                out_b += [np.maximum(idr[at], i)]
-        return pd.DataFrame({"a": np.concatenate(out_a) if out_a else [], "b": np.concatenate(out_b) if out_b else []}).drop_duplicates().astype("int64")
+            local = [np.frombuffer(x, U) for x in (*left["shingles"], *right["shingles"])]
+            _, flat = np.unique(np.concatenate(local), return_inverse=True)
+            start = np.concatenate([[0], np.cumsum([len(x) for x in local])])
+            cut = start[len(left)]
+            other, edge = flat[cut:], start[len(left) : -1] - cut
+            held = np.zeros(int(flat.max()) + 1, bool)
+            bands = np.stack(right["bands"].to_numpy())
+            label, size, ids = right["c"].to_numpy(), right["n"].to_numpy(), right["doc_id"].to_numpy()
+            root = {c: c for c in {*left["c"], *label}}
+
+            def find(c):
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            for i, (doc, n, c, own) in enumerate(zip(left["doc_id"], left["n"], left["c"], left["bands"], strict=True)):
+                near = (label != c) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n))
+                near[near] = (bands[near] == np.asarray(own)).sum(axis=1) >= MEET
+                if not near.any():
+                    continue
+                held[flat[start[i] : start[i + 1]]] = True
+                both = np.add.reduceat(held[other].astype(np.int64), edge)
+                held[flat[start[i] : start[i + 1]]] = False
+                for j in np.flatnonzero(near & (100 * both >= percent * (size + n - both))):
+                    x, y = find(c), find(label[j])
+                    if x != y:
+                        root[x] = y
+                        a.append(min(doc, ids[j]))
+                        b.append(max(doc, ids[j]))
+        return pd.DataFrame({"a": a, "b": b}).astype("int64")
 
     return run
 
@@ -183,7 +204,7 @@ def _estimate(percent: int):
 def near_components(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(v, c) for the rows of classes(doc_id, text), distinct word sequences, that have a link."""
     low, most = F.least("n", "hub_n"), F.greatest("n", "hub_n")
-    banded = classes.mapInArrow(_band_rows, "doc_id long, n long, sig binary, bands array<long>")
+    banded = classes.mapInArrow(_band_rows, "doc_id long, n long, bands array<long>")
     member = banded.select("doc_id", "n", F.posexplode("bands").alias("band", "key"))
     big = member.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
     member = member.join(big, ["band", "key"]).checkpoint()
@@ -210,18 +231,20 @@ def near_components(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
         rest = rest.join(mixed, ["band", "key"], "left_semi").checkpoint()
         if not rest.limit(1).count():
             return labels
-    # the exact way for the rest: all members of different components, block against block
-    sig = classes.join(rest.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_band_rows, banded.schema).select("doc_id", "sig")
-    size = rest.groupBy("band", "key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = rest.join(size, ["band", "key"]).join(sig, "doc_id")
+    # the exact way for the rest: members that buckets connect, block against block
+    first = rest.groupBy("band", "key").agg(F.min("doc_id").alias("a"))
+    group = components(rest.join(first, ["band", "key"]).select("a", F.col("doc_id").alias("b")).distinct())
+    few = rest.select("doc_id", "n", "c").distinct().join(group.select(F.col("v").alias("doc_id"), F.col("c").alias("g")), "doc_id")
+    size = few.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    bands = classes.join(few.select("doc_id"), "doc_id", "left_semi").mapInArrow(_band_rows, banded.schema).select("doc_id", "bands")
+    rows = few.join(size, "g").join(bands, "doc_id").join(sets, "doc_id")
     rows = rows.withColumn("i", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     left = rows.withColumn("j", F.explode(F.sequence(F.col("i"), F.col("blocks") - 1)))
     right = rows.withColumn("j", F.col("i")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("j"))))
-    keys = ["band", "key", "i", "j"]
-    columns = [*keys, "doc_id", "n", "c", "sig"]
+    keys = ["g", "i", "j"]
+    columns = [*keys, "doc_id", "n", "c", "bands", "shingles"]
     left, right = (x.select(*(F.col(c).alias(c) for c in columns)).groupBy(*keys) for x in (left, right))
-    pairs = left.cogroup(right).applyInPandas(_estimate(percent), "a long, b long").distinct()
-    found = verified(pairs, sets, percent).checkpoint()
+    found = left.cogroup(right).applyInPandas(_block_edges(percent), "a long, b long").checkpoint()
     return components(edges.union(found))
 
 
