@@ -1,4 +1,272 @@
-"""Registered queries of the span engine and their DuckDB SQL."""
+"""Registered queries of the span engine over the text tables, and their DuckDB SQL.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+The tables hold no Chinese text, so queries that look for a script first turn vowels into
+Chinese characters (``translate``), the same way on both sides.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..functions import text as T
+from ..functions.classes import CHINESE, SPACES
+from ..operators import checks, classify, extract, memory, rewrite
+
+VOWELS, MARKS = "aeiou", "用户创建名"
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _docs(spark, d, inject: bool = False) -> DataFrame:
+    text = F.translate("text", VOWELS, MARKS) if inject else F.col("text")
+    return _t(spark, d, "documents").select(F.col("doc_id").alias("file"), text.alias("text"), "lang", "source")
+
+
+def _lines(spark, d) -> DataFrame:
+    docs = _t(spark, d, "documents")
+    lines = docs.select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("line", "src")).where("trim(src) <> ''")
+    return lines.withColumn("h", T.seg_hash(F.col("src")))
+
+
+def extract_spans(spark, d):
+    spans = extract.extract_lines(_docs(spark, d, True))
+    return spans.select("file", F.col("start").alias("s"), F.col("end").alias("e"), "h", "kind")
+
+
+def segment_dedup(spark, d):
+    lines = _lines(spark, d)
+    return lines.groupBy("h").agg(F.min_by("src", F.struct("doc_id", "line")).alias("src"), F.count("*").alias("n"))
+
+
+def dedup_ratio(spark, d):
+    return _lines(spark, d).groupBy("lang", "source").agg(F.count("*").alias("n"), F.countDistinct("h").alias("unique_n"))
+
+
+def pending_segments(spark, d):
+    lines = _lines(spark, d)
+    segments = lines.where("source <> 'src0'").groupBy("h").agg(F.min("src").alias("src"))
+    return memory.pending(segments, lines.where("source = 'src0'")).select("h", "src")
+
+
+def _dictionary(spark, d) -> DataFrame:
+    rows = _t(spark, d, "benchmark").select(F.explode(F.split("text", r"[\s.,]+")).alias("w"), "item_id").where("length(w) > 2")
+    return rows.groupBy(T.norm(F.col("w")).alias("src_norm")).agg(F.concat(F.lit("en-"), F.max("item_id").cast("string")).alias("en"))
+
+
+def dictionary_chain(spark, d):
+    words = _t(spark, d, "documents").select(F.explode(F.split("text", r"[\s.,]+")).alias("src")).where("length(src) > 2").distinct()
+    segments = words.withColumn("h", T.seg_hash(F.col("src")))
+    first = memory.DictionaryEngine(_dictionary(spark, d))
+
+    class Plain:
+        name = "upper"
+
+        def resolve(self, left):
+            return left.select("h", "src", F.when(F.length("src") > 8, F.concat(F.lit("u-"), "src")).otherwise("").alias("en"))
+
+    done = memory.chain(segments, [first, Plain()])
+    return done.groupBy("engine").agg(F.count("*").alias("n"), F.countDistinct("h").alias("hashes"), F.sum(F.length("en")).alias("chars"))
+
+
+def memory_upsert(spark, d):
+    lines = _lines(spark, d)
+    rows = lambda df, name: df.select("h", "src", F.concat(F.lit("u-"), "src").alias("en"), F.lit(name).alias("engine"), (F.col("doc_id") * 100000 + F.col("line")).alias("seq"))
+    old = rows(lines.where("source < 'src15'"), "old").groupBy("h").agg(F.max_by(F.struct("src", "en", "engine"), "seq").alias("r")).select("h", "r.*")
+    return memory.upsert(old, rows(lines.where("source >= 'src12'"), "new"))
+
+
+_PATHS = "concat(CASE doc_id % 7 WHEN 0 THEN 'src/' WHEN 1 THEN 'gen/' WHEN 2 THEN 'ent/schema/' WHEN 3 THEN 'ent/' WHEN 4 THEN 'a/i18n/' WHEN 5 THEN 'web/[locale]/' ELSE '' END, source, '/', lang, CASE doc_id % 11 WHEN 0 THEN '.go' WHEN 1 THEN '.pb.go' WHEN 2 THEN '.md' WHEN 3 THEN '.zh.md' WHEN 4 THEN '.txt' WHEN 5 THEN '.vue' WHEN 6 THEN '.sql' WHEN 7 THEN '_pb2.py' WHEN 8 THEN '.ts' WHEN 9 THEN '.less' ELSE '' END)"
+
+
+def classify_paths(spark, d):
+    paths = _t(spark, d, "documents").select("doc_id", F.expr(_PATHS).alias("path"))
+    return paths.select("doc_id", "path", classify.is_translatable(F.col("path")).alias("translatable"), classify.language(F.col("path")).alias("language"))
+
+
+def residual_counts(spark, d):
+    return checks.residual(_docs(spark, d, True)).select("file", "n")
+
+
+def text_functions(spark, d):
+    c = F.concat(F.regexp_replace(F.initcap("text"), " ", "API"), F.lit("<x>'q'</x> \\ \"z\""))
+    t = _t(spark, d, "conversations").select("conv_id", "turn", c.alias("c"))
+    return t.select("conv_id", "turn", T.fix_spacing(F.col("c")).alias("spaced"), T.unprotect(F.col("c")).alias("plain"), T.escape_literal(F.col("c"), F.lit("a.sql")).alias("in_sql"), T.escape_literal(F.col("c"), F.lit("a.go")).alias("in_go"))
+
+
+def blank_literals(spark, d):
+    return _t(spark, d, "pages").select("page_id", T.blank_literals(F.regexp_replace("html", "\n", " ")).alias("skeleton"))
+
+
+def _markdown(spark, d) -> DataFrame:
+    pages = _t(spark, d, "pages").withColumn("line", F.regexp_extract("html", "<title>([^<]*)</title>", 1))
+    text = F.concat(F.lit("# "), F.col("line"), F.lit("\n[x](#"), F.when(F.col("page_id") % 3 == 0, "none").otherwise(T.heading_slug(F.col("line"))), F.lit(") [y]("), F.col("url"), F.lit(") [z](docs/a.md#b)\n```\n# no\n```\n"))
+    return pages.select(F.concat(F.col("page_id").cast("string"), F.lit(".md")).alias("file"), text.alias("text"))
+
+
+def anchors_broken(spark, d):
+    return checks.broken_anchors(_markdown(spark, d), masked=False).select("file", F.col("detail").alias("slug"))
+
+
+def heading_slugs(spark, d):
+    return checks.headings(_markdown(spark, d)).select("file", "pos", T.heading_slug(F.col("line")).alias("slug"))
+
+
+def markdown_links(spark, d):
+    return _markdown(spark, d).select("file", F.explode(T.links(F.col("text"))).alias("target"))
+
+
+def links_broken(spark, d):
+    inventory = spark.sql("select 'docs/b.md' as file")
+    return checks.broken_links(_markdown(spark, d), inventory).select("file", F.col("detail").alias("target"))
+
+
+def splice_plain(spark, d):
+    files = _docs(spark, d, True)
+    spans = extract.extract_lines(files)
+    known = memory.distinct_segments(spans).where("substr(h, 1, 1) < '8'").select("h", F.concat(F.lit("<"), F.substring("h", 1, 6), F.lit(">")).alias("en"))
+    out = rewrite.splice_plain(files, spans, known)
+    return out.select("file", F.md5(F.col("text").cast("binary")).alias("digest"), F.length("text").alias("chars"), "n")
+
+
+def pair_verdicts(spark, d):
+    turns = _t(spark, d, "conversations").select("conv_id", "turn", F.concat(F.regexp_replace(F.substring_index("text", ".", 1), "\n", " "), F.lit(" = f(\"a\") // c")).alias("line"))
+    old = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("line").alias("old"))
+    return turns.join(old, ["conv_id", "turn"], "left").select("conv_id", "turn", checks.pair_verdict(F.col("old"), F.col("line")).alias("drift")).where("drift is not null")
+
+
+def _findings(spark, d, sources) -> DataFrame:
+    docs = _docs(spark, d, True).where(F.col("source").isin(*sources))
+    return docs.select(F.lit("residual").alias("check"), F.col("file").cast("string").alias("file"), F.lit(None).cast("string").alias("detail"), F.regexp_count("text", F.lit(CHINESE.has())).cast("long").alias("n")).unionByName(
+        docs.select(F.lit("lang").alias("check"), F.col("file").cast("string").alias("file"), F.col("lang").alias("detail"), F.lit(None).cast("long").alias("n"))
+    )
+
+
+def baseline_diff(spark, d):
+    return checks.against_baseline(_findings(spark, d, ("src1", "src2", "src3")), _findings(spark, d, ("src3", "src4")))
+
+
+def top_findings(spark, d):
+    return checks.top_findings(_findings(spark, d, tuple(f"src{i}" for i in range(20)))).select("check", "file", "detail", "n", "rank")
+
+
+def gate_verdict(spark, d):
+    return _findings(spark, d, ("src1", "src2")).groupBy("check").agg(F.count("*").alias("n"), (F.count("*") == 0).alias("passed"))
+
+
+def protect_tokens(spark, d):
+    c = F.concat(F.col("text"), F.lit(" getUser( fooBar HTTPServer snake_case a.bc `x y` %d {id} ${n} https://e.org/a"))
+    return _t(spark, d, "conversations").select("conv_id", "turn", T.protector(("ent", "fooBar"))(c).alias("text"))
+
+
+def structured_extract(spark, d):
+    wrap = F.concat(F.lit("// "), F.replace("text", F.lit("\n"), F.lit("\n// ")), F.lit("\nvar x = \"用户\"; y(用户) `创`\n"))
+    files = _docs(spark, d, True).withColumn("lang", F.element_at(F.array(*map(F.lit, ("go", "markdown", "typescript", "yaml"))), (F.col("file") % 4 + 1).cast("int")))
+    return extract.extract(files.withColumn("text", wrap)).select("file", F.col("start").alias("s"), F.col("end").alias("e"), "h", "kind")
+
+
+def splice_padded(spark, d):
+    files = _docs(spark, d, True).select(F.concat(F.col("file").cast("string"), F.lit(".md")).alias("file"), "text")
+    spans = extract.extract_lines(files)
+    known = memory.distinct_segments(spans).select("h", F.concat(F.lit("Word"), F.substring("h", 1, 3)).alias("en"))
+    out = rewrite.splice(files.withColumn("content", F.col("text").cast("binary")), extract.occurrences(spans), known)
+    return out.select("file", F.md5("content").alias("digest"), "n")
+
+
+def drift_lines(spark, d):
+    t = _t(spark, d, "conversations").withColumn("code", F.regexp_replace("text", r"\. ", " = f(1)\n"))
+    return checks.drift(t.select(F.concat(F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string"), F.lit(".go")).alias("file"), F.col("code").alias("before"), F.regexp_replace("code", "a", "b").alias("after")))
+
+
+def doc_moves(spark, d):
+    name = F.element_at(F.array(*map(F.lit, ("README.md", "README_en.md", "README.zh-CN.md", "README.ja.md", "guide.md"))), (F.col("doc_id") % 5 + 1).cast("int"))
+    folder = F.when(F.col("doc_id") % 3 == 0, "docs/").otherwise(F.concat("source", F.lit("/")))
+    return rewrite.plan_moves(_t(spark, d, "documents").select(F.concat(folder, name).alias("file"), (F.col("doc_id") % 2 == 0).alias("has_script")).groupBy("file").agg(F.max("has_script").alias("has_script")))
+
+
+QUERIES = {f.__name__: f for f in (extract_spans, segment_dedup, dedup_ratio, pending_segments, dictionary_chain, memory_upsert, classify_paths, residual_counts, text_functions, blank_literals, anchors_broken, heading_slugs, markdown_links, links_broken, splice_plain, pair_verdicts, baseline_diff, top_findings, gate_verdict, protect_tokens, structured_extract, splice_padded, drift_lines, doc_moves)}
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+
+
+def _norm(c: str) -> str:
+    return f"trim(regexp_replace(nfc_normalize({c}), {_q('[' + SPACES + ']+')}, ' ', 'g'))"
+
+
+def _hash(c: str) -> str:
+    return f"sha1({_norm(c)})"
+
+
+def _slug(c: str) -> str:
+    kept = f"regexp_replace(lower(trim({c})), {_q(r'[^\p{L}\p{N}_' + SPACES + r'\-]')}, '', 'g')"
+    return f"regexp_replace(regexp_replace({kept}, {_q('[' + SPACES + ']')}, '-', 'g'), '^-+|-+$', '', 'g')"
+
+
+_RUN, _HAS = _q(CHINESE.run()), _q(CHINESE.has())
+_INJECT = f"translate(text, '{VOWELS}', '{MARKS}')"
+_LINES_SQL = f"""l AS (SELECT doc_id, lang, source, line, src, {_hash('src')} AS h FROM (
+  SELECT doc_id, lang, source, unnest(range(len(a))) AS line, unnest(a) AS src FROM (SELECT *, string_split(text, chr(10)) AS a FROM documents)) WHERE trim(src) <> '')"""
+_SPANS_SQL = f"""d AS (SELECT doc_id AS file, {_INJECT} AS text, string_split({_INJECT}, chr(10)) AS a FROM documents),
+ ln AS (SELECT file, line, body, coalesce(sum(strlen(body) + 1) OVER (PARTITION BY file ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base
+        FROM (SELECT file, unnest(range(len(a))) AS line, unnest(a) AS body FROM d)),
+ g AS (SELECT file, line, base, CASE WHEN regexp_matches(body, '//|#|--') THEN 'comment' ELSE 'string' END AS kind, string_split_regex(body, {_RUN}) AS gaps, regexp_extract_all(body, {_RUN}) AS runs
+       FROM ln WHERE regexp_matches(body, {_HAS})),
+ p AS (SELECT file, line, base, kind, unnest(range(len(runs))) AS i, unnest(gaps[1:len(runs)]) AS gap, unnest(runs) AS run FROM g),
+ o AS (SELECT *, base + coalesce(sum(strlen(gap) + strlen(run)) OVER (PARTITION BY file, line ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + strlen(gap) AS s FROM p),
+ sp AS (SELECT file, CAST(s AS INTEGER) AS s, CAST(s + strlen(run) AS INTEGER) AS e, {_hash('run')} AS h, kind, run AS src FROM o WHERE regexp_matches(run, {_HAS}))"""
+_MD_SQL = f"m AS (SELECT page_id, concat(page_id, '.md') AS file, line, url, {_slug('line')} AS slug FROM (SELECT *, regexp_extract(html, '<title>([^<]*)</title>', 1) AS line FROM pages))"
+_FINDINGS_SQL = f"""f AS (SELECT 'residual' AS "check", CAST(doc_id AS VARCHAR) AS file, CAST(NULL AS VARCHAR) AS detail, CAST(len({_INJECT}) - len(regexp_replace({_INJECT}, {_HAS}, '', 'g')) AS BIGINT) AS n, source FROM documents
+  UNION ALL SELECT 'lang', CAST(doc_id AS VARCHAR), lang, NULL, source FROM documents)"""
+_WORDS = "unnest(string_split_regex(text, '[\\s.,]+'))"
+_LITERALS = [(r"/\*.*?\*/", "/**/"), (r'"[^"\\]*(?:\\.[^"\\]*)*"', '""'), (r"'[^'\\]*(?:\\.[^'\\]*)*'", "''"), (r"`[^`]*`", "``"), (r"(//|#).*$", "\\1")]
+
+
+def _blank(c: str) -> str:
+    for pattern, to in _LITERALS:
+        c = f"regexp_replace({c}, {_q(pattern)}, {_q(to)}, 'g')"
+    return c
+
+
+_TRANSLATABLE = f"""CASE WHEN NOT list_contains([{', '.join(map(_q, classify.LANGUAGES))}], suffix) THEN false WHEN regexp_full_match(probe, {_q(classify.glob_pattern(classify.EXCLUDED))}) THEN false
+  WHEN regexp_full_match(probe, {_q(classify.glob_pattern(classify.WRITTEN_BY_HAND))}) THEN true WHEN regexp_full_match(probe, {_q(classify.glob_pattern(classify.GENERATED))}) THEN false ELSE true END"""
+
+ORACLE_SQL = {
+    "extract_spans": f"WITH {_SPANS_SQL} SELECT file, s, e, h, kind FROM sp",
+    "segment_dedup": f"WITH {_LINES_SQL} SELECT h, arg_min(src, (doc_id, line)) AS src, count(*) AS n FROM l GROUP BY h",
+    "dedup_ratio": f"WITH {_LINES_SQL} SELECT lang, source, count(*) AS n, count(DISTINCT h) AS unique_n FROM l GROUP BY ALL",
+    "pending_segments": f"WITH {_LINES_SQL} SELECT h, min(src) AS src FROM l WHERE source <> 'src0' AND h NOT IN (SELECT h FROM l WHERE source = 'src0') GROUP BY h",
+    "dictionary_chain": f"""WITH dict AS (SELECT {_norm('w')} AS k, concat('en-', max(item_id)) AS en FROM (SELECT {_WORDS} AS w, item_id FROM benchmark) WHERE len(w) > 2 GROUP BY 1),
+ w AS (SELECT DISTINCT src FROM (SELECT {_WORDS} AS src FROM documents) WHERE len(src) > 2),
+ r AS (SELECT {_hash('src')} AS h, CASE WHEN en IS NOT NULL THEN 'dictionary' ELSE 'upper' END AS engine, coalesce(en, concat('u-', src)) AS en FROM w LEFT JOIN dict ON {_norm('src')} = k WHERE en IS NOT NULL OR len(src) > 8)
+ SELECT engine, count(*) AS n, count(DISTINCT h) AS hashes, CAST(sum(len(en)) AS BIGINT) AS chars FROM r GROUP BY engine""",
+    "memory_upsert": f"""WITH {_LINES_SQL}, a AS (SELECT h, src, concat('u-', src) AS en, CASE WHEN source >= 'src12' THEN 'new' ELSE 'old' END AS engine, doc_id * 100000 + line AS seq, source FROM l),
+ n AS (SELECT h, arg_max({{'src': src, 'en': en}}, seq) AS r, 'new' AS engine FROM a WHERE source >= 'src12' GROUP BY h),
+ o AS (SELECT h, arg_max({{'src': src, 'en': en}}, seq) AS r, 'old' AS engine FROM a WHERE source < 'src15' AND h NOT IN (SELECT h FROM n) GROUP BY h)
+ SELECT h, r.src AS src, r.en AS en, engine FROM (FROM n UNION ALL FROM o)""",
+    "classify_paths": f"""WITH p AS (SELECT doc_id, {_PATHS} AS path FROM documents), q AS (SELECT *, '/' || path AS probe, regexp_extract('/' || path, '[^/]\\.([^./]+)$', 1) AS suffix FROM p)
+ SELECT doc_id, path, {_TRANSLATABLE} AS translatable, CASE suffix {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in classify.LANGUAGES.items())} END AS language FROM q""",
+    "residual_counts": f"SELECT * FROM (SELECT doc_id AS file, CAST(len({_INJECT}) - len(regexp_replace({_INJECT}, {_HAS}, '', 'g')) AS BIGINT) AS n FROM documents) WHERE n > 0",
+    "blank_literals": f"SELECT page_id, {_blank('replace(html, chr(10), chr(32))')} AS skeleton FROM pages",
+    "anchors_broken": f"WITH {_MD_SQL} SELECT file, 'none' AS slug FROM m WHERE page_id % 3 = 0 AND slug <> 'none'",
+    "heading_slugs": f"WITH {_MD_SQL} SELECT file, CAST(0 AS INTEGER) AS pos, slug FROM m",
+    "markdown_links": f"WITH {_MD_SQL} SELECT file, 'docs/a.md#b' AS target FROM m",
+    "links_broken": f"WITH {_MD_SQL} SELECT file, 'docs/a.md#b' AS target FROM m",
+    "splice_plain": f"""WITH {_SPANS_SQL}, k AS (SELECT file, s, e, CASE WHEN substr(h, 1, 1) < '8' THEN concat('<', substr(h, 1, 6), '>') END AS en FROM sp),
+ x AS (SELECT file, s, e, en, coalesce(lag(e) OVER w, 0) AS prev FROM k WHERE en IS NOT NULL WINDOW w AS (PARTITION BY file ORDER BY s)),
+ r AS (SELECT file, string_agg(concat(decode(encode(text)[prev + 1 : s]), en), '' ORDER BY s) AS t, max(e) AS last, count(*) AS n, any_value(text) AS text FROM x JOIN d USING (file) GROUP BY file),
+ z AS (SELECT file, concat(t, decode(encode(text)[last + 1 : strlen(text)])) AS t, n FROM r)
+ SELECT file, md5(t) AS digest, CAST(len(t) AS INTEGER) AS chars, CAST(n AS INTEGER) AS n FROM z""",
+    "pair_verdicts": f"""WITH t AS (SELECT conv_id, turn, concat(replace(split_part(text, '.', 1), chr(10), ' '), ' = f("a") // c') AS line FROM conversations),
+ p AS (SELECT t.conv_id, t.turn, t.line, trim(t.line) AS b, trim(o.line) AS a FROM t LEFT JOIN t o ON o.conv_id = t.conv_id AND o.turn + 1 = t.turn)
+ SELECT conv_id, turn, line AS drift FROM p WHERE NOT coalesce(regexp_matches(a, {_q(T.COMMENT_LINE)}), false) AND NOT regexp_matches(b, {_q(T.COMMENT_LINE)}) AND NOT regexp_matches(b, {_HAS})
+ AND NOT coalesce({_blank('a')} = {_blank('b')}, false) AND regexp_matches({_blank('b')}, {_q(T.CODE_LINE)})""",
+    "baseline_diff": f"""WITH {_FINDINGS_SQL} SELECT "check", file, detail, n FROM f WHERE source IN ('src1', 'src2', 'src3')
+ AND NOT EXISTS (SELECT 1 FROM f b WHERE b.source IN ('src3', 'src4') AND b."check" = f."check" AND b.file = f.file AND b.detail IS NOT DISTINCT FROM f.detail AND b.n IS NOT DISTINCT FROM f.n)""",
+    "top_findings": f"WITH {_FINDINGS_SQL} SELECT \"check\", file, detail, n, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY \"check\" ORDER BY n DESC NULLS LAST, file, detail) AS r FROM f) WHERE r <= 20",
+    "gate_verdict": f"WITH {_FINDINGS_SQL} SELECT \"check\", count(*) AS n, count(*) = 0 AS passed FROM f WHERE source IN ('src1', 'src2') GROUP BY \"check\"",
+}
