@@ -400,13 +400,14 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     blobs = docs.mapInArrow(_anchor_blobs(tasks), "bucket long, kind int, blob binary").repartition(tasks, "bucket")
     met = blobs.mapInArrow(_meet, "kind long, h long, doc long, rk long, x long, y long, z long").checkpoint()
 
-    keyed = docs.select(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("doc"), "rk", "text", "doc_id")
+    # the same three columns on either side of both joins, so that the texts are shuffled once
+    keyed = docs.select(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("doc"), "rk", "text")
     reps = met.where("kind = 0").groupBy("doc", "rk").agg(F.collect_list(F.struct("h", "x", "y", "z")).alias("reps"))
     contexts = keyed.join(reps, ["doc", "rk"]).select("doc", "rk", "text", "reps").mapInArrow(_contexts, "h long, doc long, rk long, pos long, before long, context binary")
     sorted_ = contexts.repartition(tasks, "h").mapInArrow(_sort_suffixes, "doc long, rk long, x long, y long")
 
     ranges = met.where("kind = 1").select("doc", "rk", "x", "y").union(sorted_).groupBy("doc", "rk").agg(F.collect_list(F.struct("x", "y")).alias("ranges"))
-    found = keyed.join(ranges, ["doc", "rk"], "left").select("doc_id", "text", "ranges")
+    found = keyed.join(ranges, ["doc", "rk"], "left").select(F.nullif("doc", F.lit(int(NULL_ID))).alias("doc_id"), "text", "ranges")
     return found.mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>")
 
 
