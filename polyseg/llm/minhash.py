@@ -40,7 +40,7 @@ from .textbatch import U, distinct, mix64, pieces, shingles, word_hashes, words
 SLOTS, ROWS_PER_BAND = 96, 4
 BANDS = SLOTS // ROWS_PER_BAND
 WORDS, PERCENT = 5, 85
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 BLOCK = 1024
 MEET = 2  # bands two members share at least: at 0.85 fewer than that has probability 6e-7
 
@@ -146,6 +146,16 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(v, c): the smallest vertex reachable, by minimum labels with pointer jumping, for every vertex of an edge."""
+    conf = edges.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")  # many small rounds: replanning each stage only fills the driver
+    try:
+        return _components(edges)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def _components(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select(F.col("b").alias("v"), F.col("a").alias("u"))).distinct()
     labels = both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("c")).checkpoint()
     while True:
