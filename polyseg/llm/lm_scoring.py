@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ WIDTH, INNER = 16, 32
 SINGLES, BINS = 128, 16
 SAMPLE, SAMPLE_BYTES = 800, 40_000
 BLOCK_BYTES = 8_000_000
+MERGERS = 8
 LN10 = float(np.log(10))
 
 
@@ -57,34 +59,66 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 class Lexicon:
-    """Subword ids of distinct words, kept between blocks up to a bound."""
-
-    def __init__(self, path: str, most: int = 200_000):
-        self.path, self.most, self.ids = path, most, {}
-
-    def lookup(self, hashes: np.ndarray, data: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(flat ids, offsets) of the distinct words whose bytes stand at s..e."""
-        if len(self.ids) > self.most:
-            self.ids = {}
-        raw, keys = data.tobytes(), hashes.tolist()
-        new = [i for i, h in enumerate(keys) if h not in self.ids]
-        texts = [" " + raw[s[i] : e[i]].translate(_LOWER).decode("utf-8", "replace") for i in new]
-        encode = tokenizer(self.path).encode_ordinary
-        for i, text in zip(new, texts, strict=True):
-            self.ids[keys[i]] = encode(text)
-        out = [self.ids[h] for h in keys]
-        off = np.concatenate([[0], np.cumsum(np.fromiter(map(len, out), np.int64, len(out)))])
-        flat = np.fromiter((x for ids in out for x in ids), np.int32, int(off[-1]))
-        return flat, off
-
-
-def subwords(lexicon: Lexicon, data, s, e, wo, h):
+    """Subword ids of distinct words in packed arrays, kept between blocks up to a bound."""
+
+    def __init__(self, path: str, most: int = 500_000):
+        self.path, self.most = path, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.row = np.zeros(0, U), np.zeros(0, np.int64)
+        self.flat, self.off = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def _missing(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.arange(len(hashes))
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.flatnonzero(self.keys[at] != hashes)
+
+    def lookup(self, hashes: np.ndarray, data: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all words held, first place, number) of the distinct words whose bytes stand at s..e."""
+        new = self._missing(hashes)
+        if len(new) and len(self.keys) > self.most:
+            self._clear()
+            new = np.arange(len(hashes))
+        if len(new):
+            raw, encode = data.tobytes(), tokenizer(self.path).encode_ordinary
+            ids = [encode(" " + raw[s[i] : e[i]].translate(_LOWER).decode("utf-8", "replace")) for i in new]
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))])
+            self.off = np.concatenate([self.off, self.off[-1] + np.cumsum(size)])
+            keys = np.concatenate([self.keys, hashes[new]])
+            row = np.concatenate([self.row, len(self.row) + np.arange(len(new))])
+            order = np.argsort(keys)
+            self.keys, self.row = keys[order], row[order]
+        row = self.row[np.searchsorted(self.keys, hashes)]
+        return self.flat, self.off[row], self.off[row + 1] - self.off[row]
+
+
+@lru_cache(maxsize=2)
+def lexicon(path: str) -> Lexicon:
+    """One lexicon a process: words come back in block after block."""
+    return Lexicon(path)
+
+
+def group_words(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct hashes, a place of each, index of each word's hash among them)."""
+    order = np.argsort(h)
+    ordered = h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    inverse = np.empty(len(h), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], inverse
+
+
+def subwords(lexicon: Lexicon, data, s, e, wo, grouped):
     """(ids with an end per row, row offsets into them)."""
-    unique, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-    flat, off = lexicon.lookup(unique, data, s[first], e[first])
-    n = np.diff(off)[inverse]
+    unique, first, inverse = grouped
+    flat, place, size = lexicon.lookup(unique, data, s[first], e[first])
+    n = size[inverse]
     total = np.concatenate([[0], np.cumsum(n)])
-    at = np.repeat(off[inverse] - total[:-1], n) + np.arange(total[-1])
+    at = np.repeat(place[inverse] - total[:-1], n) + np.arange(total[-1])
     ro = total[wo] + np.arange(len(wo))
     ids = np.full(ro[-1], END, np.int32)
     keep = np.ones(ro[-1], bool)
@@ -148,8 +182,8 @@ class AttentionModel:
         h = y.reshape(-1, d) + z @ p["w2"]
         return h @ p["out"] + p["bias"], (a, q, k, v, s, m, y, z, h)
 
-    def _logits(self, x: np.ndarray) -> np.ndarray:
-        """As _forward, with fewer passes over memory; scores are clipped instead of shifted."""
+    def _logits(self, x: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """As _forward for the wanted places, with fewer passes over memory; scores are clipped instead of shifted."""
         p, scale = self.p, np.float32(1 / np.sqrt(WIDTH))
         a = self.inputs[x]
         a += p["pos"]
@@ -158,11 +192,12 @@ class AttentionModel:
         q = (a @ (p["qkv"][:, :d] * scale)).reshape(b, t, d)
         k, v = (a @ p["qkv"][:, d : 2 * d]).reshape(b, t, d), np.ones((b, t, d + 1), np.float32)
         v[:, :, :d] = (a @ p["qkv"][:, 2 * d :]).reshape(b, t, d)
-        s = np.matmul(q, k.transpose(0, 2, 1))
+        s = np.matmul(q, np.ascontiguousarray(k.transpose(0, 2, 1)))
         np.minimum(s, np.float32(60), out=s)
         np.exp(s, out=s)
         s *= self.seen
-        m = np.matmul(s, v).reshape(-1, d + 1)
+        m = np.matmul(s, v).reshape(-1, d + 1)[wanted]
+        a = a[wanted]
         a += (m[:, :d] / m[:, d:]) @ p["wo"]
         z = a @ p["w1"]
         z += p["b1"]
@@ -170,6 +205,9 @@ class AttentionModel:
         a += z @ p["w2"]
         out = a @ p["out"]
         out += p["bias"]
+        most = np.sqrt(np.einsum("ij,ij->i", a, a).max(initial=0)) * self.reach + np.abs(p["bias"]).max()
+        if not most < 60:  # else no logit can be too large for exp
+            np.minimum(out, np.float32(60), out=out)
         return out
 
     def fit(self, ids: np.ndarray, ro: np.ndarray, epochs: int = 2, batch: int = 96, rate: float = 0.015, seed: int = 6) -> AttentionModel:
@@ -237,27 +275,33 @@ class AttentionModel:
         out = np.zeros(len(ids))
         self.seen = np.tril(np.ones((WINDOW, WINDOW), np.float32))
         self.inputs = self.p["emb"] + self.p["cls"][self.cls]
+        self.reach = np.sqrt((self.p["out"] ** 2).sum(axis=0).max())
+        before = np.concatenate([[END], ids[:-1]]).astype(np.int32)
+        before[ro[:-1]] = END
+        places = np.arange(WINDOW)
         for k in range(0, len(start), batch):
-            x, y, good, at = self._batch(ids, ro, start[k : k + batch], end[k : k + batch])
-            logits = self._logits(x)
-            np.minimum(logits, np.float32(60), out=logits)
-            picked = logits[np.arange(len(logits)), self.cls[y.ravel()]]
+            at = start[k : k + batch, None] + places
+            good = (at < end[k : k + batch, None]) & (places >= skip[k : k + batch, None])
+            np.minimum(at, len(ids) - 1, out=at)
+            wanted = np.flatnonzero(good)
+            x, at = before[at], at.ravel()[wanted]
+            y = ids[at]
+            logits = self._logits(x, wanted)
+            picked = logits[np.arange(len(logits)), self.cls[y]]
             np.exp(logits, out=logits)
-            value = (picked - np.log(logits @ np.ones(logits.shape[1], np.float32))).reshape(y.shape) + self.log_in[y]
-            good &= np.arange(WINDOW) >= skip[k : k + batch, None]
-            out[at[good]] = value[good]
+            out[at] = picked - np.log(logits @ np.ones(logits.shape[1], np.float32)) + self.log_in[y]
         return np.add.reduceat(out, ro[:-1]) if len(ro) > 1 else np.zeros(0)
 
 
 def _block_words(text: pa.Array):
     for first, n, data, off in pieces(text, 1_500_000):
         s, e, wo = words(data, off)
-        yield first, n, data, s, e, wo, word_hashes(data, s, e)
+        yield first, n, data, s, e, wo, group_words(word_hashes(data, s, e))
 
 
 def _distinct(text) -> tuple[np.ndarray, list]:
     parts = list(_block_words(text))
-    return np.unique(np.concatenate([p[-1] for p in parts])) if parts else np.zeros(0, U), parts
+    return np.unique(np.concatenate([p[-1][0] for p in parts])) if parts else np.zeros(0, U), parts
 
 
 def _bucket_cuts(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -274,20 +318,21 @@ def _ask(buckets: int, path: str):
         held = group.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         count = np.zeros(len(hashes), np.int64)
         ids = np.zeros(N_IDS, np.int64)
-        lexicon = Lexicon(path)
-        for first, n, data, s, e, wo, h in parts:
-            train = np.repeat(~held[first : first + n], np.diff(wo))
-            count += np.bincount(np.searchsorted(hashes, h[train]), minlength=len(hashes))
-            sub, ro = subwords(lexicon, data, s, e, wo, h)
-            ids += np.bincount(sub[np.repeat(~held[first : first + n], np.diff(ro))], minlength=N_IDS)
+        for first, n, data, s, e, wo, grouped in parts:
+            unique, place, inverse = grouped
+            used = ~held[first : first + n]
+            c = np.bincount(inverse[np.repeat(used, np.diff(wo))], minlength=len(unique))
+            count[np.searchsorted(hashes, unique)] += c
+            flat, start, size = lexicon(path).lookup(unique, data, s[place], e[place])
+            at = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+            ids += np.bincount(flat[at], np.repeat(c, size), N_IDS).astype(np.int64)
+            ids[END] += used.sum()
         _, cut = _bucket_cuts(hashes, buckets)
         some = [i for i in range(buckets) if cut[i + 1] > cut[i]]
         blobs = [hashes[cut[i] : cut[i + 1]].tobytes() + count[cut[i] : cut[i + 1]].astype("<u4").tobytes() for i in some]
         at = np.flatnonzero(ids)
-        block = key[0].as_py()
-        return pa.table(
-            {"bucket": pa.array([*some, -1], pa.int64()), "block": pa.array([block] * (len(some) + 1), pa.int64()), "blob": pa.array([*blobs, None], pa.binary()), "ids": pa.array([None] * len(some) + [at.tolist()], pa.list_(pa.int64())), "n": pa.array([None] * len(some) + [ids[at].tolist()], pa.list_(pa.int64()))}
-        )
+        blobs.append(at.astype("<i4").tobytes() + ids[at].astype("<i8").tobytes())
+        return pa.table({"bucket": pa.array([*some, -1], pa.int64()), "block": pa.array([key[0].as_py()] * len(blobs), pa.int64()), "blob": pa.array(blobs, pa.binary())})
 
     return run
 
@@ -306,6 +351,19 @@ def _answer(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([*group.column("block").to_pylist(), -1], pa.int64()), "bucket": pa.array([bucket] * (len(blobs) + 1), pa.int64()), "totals": pa.array([*answers, known], pa.binary())})
 
 
+def _add_ids(batches):
+    """Counts per subword of all rows of a task, as one row."""
+    total, some = np.zeros(N_IDS, np.int64), False
+    for b in batches:
+        for blob in b.column("blob").to_pylist():
+            cut = len(blob) // 12 * 4
+            total[np.frombuffer(blob[:cut], "<i4")] += np.frombuffer(blob[cut:], "<i8")
+            some = True
+    if some:
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array([at.astype("<i4").tobytes() + total[at].astype("<i8").tobytes()], pa.binary())], ["blob"])
+
+
 def score_documents(df: DataFrame, path: str = VOCABULARY, folds: int = 5, held_fold: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     spark = df.sparkSession
@@ -316,24 +374,30 @@ def score_documents(df: DataFrame, path: str = VOCABULARY, folds: int = 5, held_
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), (fold == held_fold).alias("held_out"))
     blocks = int(max(partitions(spark), total_bytes(docs, "text") // BLOCK_BYTES))
     docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    asked = docs.groupBy("block").applyInArrow(_ask(blocks, path), "bucket long, block long, blob binary, ids array<long>, n array<long>").checkpoint()
+    asked = docs.groupBy("block").applyInArrow(_ask(blocks, path), "bucket long, block long, blob binary").checkpoint()
     answered = asked.where("bucket >= 0").groupBy("bucket").applyInArrow(_answer, "block long, bucket long, totals binary").checkpoint()
 
     ends = docs.where(~F.col("held_out")).count()
     known = answered.where("block = -1").select("totals").collect()  # two numbers a bucket
     sums = np.sum([np.frombuffer(r["totals"], "<f8") for r in known], axis=0) if known else np.zeros(2)
     n_total, n_words = int(sums[1]) + ends, int(sums[0]) + (ends > 0)
-    seen = asked.where("bucket = -1").select(F.explode(F.arrays_zip("ids", "n")).alias("z")).groupBy("z.ids").agg(F.sum("z.n").alias("n")).collect()  # a row per id of the vocabulary
+    # counts per subword are added up inside tasks, then in MERGERS tasks; each sends one row of the vocabulary's size
+    merged = asked.where("bucket = -1").select("blob").mapInArrow(_add_ids, "blob binary").repartition(MERGERS).mapInArrow(_add_ids, "blob binary")
     counts = np.zeros(N_IDS)
-    for r in seen:
-        counts[r["ids"]] = r["n"]
+    for r in merged.collect():
+        cut = len(r["blob"]) // 12 * 4
+        counts[np.frombuffer(r["blob"][:cut], "<i4")] += np.frombuffer(r["blob"][cut:], "<i8")
     starts = np.zeros(N_IDS, bool)
     for b, i in tokenizer(path)._mergeable_ranks.items():
         starts[i] = b[:1] == b" "
 
-    few = docs.where(~F.col("held_out") & (F.octet_length("text") < SAMPLE_BYTES)).orderBy(F.xxhash64(F.lit(1), "doc_id"), "doc_id").select("text").limit(SAMPLE).collect()
-    model, lexicon = AttentionModel(counts, starts), Lexicon(path)
-    sample = [(subwords(lexicon, d, s, e, wo, h)) for _, _, d, s, e, wo, h in _block_words(pa.array([r["text"] for r in few], pa.string()))] if few else []
+    # ids first, so that tasks send texts of the sample only
+    order = F.xxhash64(F.lit(1), "doc_id")
+    able = docs.where(~F.col("held_out") & (F.octet_length("text") < SAMPLE_BYTES)).withColumn("order", order)
+    last = able.select("order").orderBy("order").limit(SAMPLE).agg(F.max("order")).first()[0]
+    few = able.where(F.col("order") <= F.lit(last).cast("long")).orderBy("order", "doc_id").select("text").limit(SAMPLE).collect()
+    model = AttentionModel(counts, starts)
+    sample = [subwords(lexicon(path), d, s, e, wo, grouped) for _, _, d, s, e, wo, grouped in _block_words(pa.array([r["text"] for r in few], pa.string()))] if few else []
     if sample:
         ids, at = np.concatenate([x for x, _ in sample]), 0
         ro = [np.zeros(1, np.int64)]
@@ -352,14 +416,14 @@ def score_documents(df: DataFrame, path: str = VOCABULARY, folds: int = 5, held_
         logs = np.log10(c + 0.5) - z
         n = len(left)
         size, known, base, lm = (np.zeros(n, k) for k in (np.int64, np.int64, float, float))
-        lexicon = Lexicon(path)
-        for first, rows, data, s, e, wo, h in parts:
-            at, row = np.searchsorted(hashes, h), np.repeat(np.arange(rows), np.diff(wo))
+        for first, rows, data, s, e, wo, grouped in parts:
+            unique, _, inverse = grouped
+            at, row = np.searchsorted(hashes, unique)[inverse], np.repeat(np.arange(rows), np.diff(wo))
             here = slice(first, first + rows)
             size[here] = np.diff(wo) + 1
             known[here] = np.bincount(row, c[at] > 0, rows).astype(np.int64) + (ends > 0)
             base[here] = np.bincount(row, logs[at], rows) + np.log10(ends + 0.5) - z
-            lm[here] = shared.value.score(*subwords(lexicon, data, s, e, wo, h)) / LN10
+            lm[here] = shared.value.score(*subwords(lexicon(path), data, s, e, wo, grouped)) / LN10
         return pa.table({"doc_id": left.column("doc_id"), "held_out": left.column("held_out"), "n_tokens": size, "n_known": known, "train_tokens": np.full(n, n_total), "base_score": base, "score": lm})
 
     left = docs.groupBy("block")
