@@ -42,6 +42,7 @@ BANDS = SLOTS // ROWS_PER_BAND
 WORDS, PERCENT = 5, 85
 STAR_ROUNDS = 2
 BLOCK = 1024
+ROUND_ROWS = 1_000_000  # links a task of a component round takes (16 bytes each)
 MEET = 2  # bands two members share at least: at 0.85 fewer than that has probability 6e-7
 
 
@@ -146,17 +147,22 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(v, c): the smallest vertex reachable, by minimum labels with pointer jumping, for every vertex of an edge."""
-    conf = edges.sparkSession.conf
-    adaptive = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "false")  # many small rounds: replanning each stage only fills the driver
+    spark = edges.sparkSession
+    both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select(F.col("b").alias("v"), F.col("a").alias("u"))).distinct().checkpoint()
+    # many small rounds: tasks by the number of links, and no replanning of each stage, which only fills the driver
+    tasks = max(spark.sparkContext.defaultParallelism, -(-both.count() // ROUND_ROWS))
+    own = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(tasks)}
+    before = {key: spark.conf.get(key) for key in own}
     try:
-        return _components(edges)
+        for key, value in own.items():
+            spark.conf.set(key, value)
+        return _components(both)
     finally:
-        conf.set("spark.sql.adaptive.enabled", adaptive)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
-def _components(edges: DataFrame) -> DataFrame:
-    both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select(F.col("b").alias("v"), F.col("a").alias("u"))).distinct()
+def _components(both: DataFrame) -> DataFrame:
     labels = both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("c")).checkpoint()
     while True:
         near = both.join(labels.select(F.col("v").alias("u"), F.col("c").alias("d")), "u").groupBy("v").agg(F.min("d").alias("d"))
