@@ -133,16 +133,16 @@ def _verify(percent: int):
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * both >= percent * (len(p) + len(q) - both))
             at = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(at), b.column("b").filter(at)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([b.column("ca").filter(at), b.column("cb").filter(at)], ["a", "b"])
 
     return run
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+    """Links (a, b) between the components ca, cb of the pairs (a, b, ca, cb) whose full sets are similar enough."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("ca", "cb", "x", "y").mapInArrow(_verify(percent), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -175,8 +175,17 @@ def _components(both: DataFrame) -> DataFrame:
             return labels
 
 
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels (v, c) after links between components: only the components' own graph is searched."""
+    new = components(links)
+    if labels is None:
+        return new
+    moved = labels.join(new.select(F.col("v").alias("c"), F.col("c").alias("to")), "c", "left").select("v", F.coalesce("to", "c").alias("c"))
+    return moved.union(new.join(labels.select("v"), "v", "left_anti")).checkpoint()
+
+
 def _block_edges(percent: int):
-    """Links between members of two blocks of a candidate group: exact, and only a forest of them."""
+    """Links between components of members of two blocks of a candidate group: exact, and only a forest of them."""
 
     def run(key, left, right):
         import pandas as pd
@@ -190,7 +199,7 @@ def _block_edges(percent: int):
             other, edge = flat[cut:], start[len(left) : -1] - cut
             held = np.zeros(int(flat.max()) + 1, bool)
             bands = np.stack(right["bands"].to_numpy())
-            label, size, ids = right["c"].to_numpy(), right["n"].to_numpy(), right["doc_id"].to_numpy()
+            label, size = right["c"].to_numpy(), right["n"].to_numpy()
             root = {c: c for c in {*left["c"], *label}}
 
             def find(c):
@@ -198,7 +207,7 @@ def _block_edges(percent: int):
                     root[c] = c = root[root[c]]
                 return c
 
-            for i, (doc, n, c, own) in enumerate(zip(left["doc_id"], left["n"], left["c"], left["bands"], strict=True)):
+            for i, (n, c, own) in enumerate(zip(left["n"], left["c"], left["bands"], strict=True)):
                 near = (label != c) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n))
                 near[near] = (bands[near] == np.asarray(own)).sum(axis=1) >= MEET
                 if not near.any():
@@ -210,8 +219,8 @@ def _block_edges(percent: int):
                     x, y = find(c), find(label[j])
                     if x != y:
                         root[x] = y
-                        a.append(min(doc, ids[j]))
-                        b.append(max(doc, ids[j]))
+                        a.append(c)
+                        b.append(label[j])
         return pd.DataFrame({"a": a, "b": b}).astype("int64")
 
     return run
@@ -229,17 +238,17 @@ def near_components(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     near_ids = member.select("doc_id").distinct()
     sets = classes.join(near_ids, "doc_id", "left_semi").mapInArrow(_set_rows, "doc_id long, shingles binary").checkpoint()
 
-    edges, labels = None, None
+    labels = None
     rest = member.withColumn("c", F.col("doc_id"))
     for step in range(STAR_ROUNDS):
         hub = rest.groupBy("band", "key").agg(F.max_by(F.struct("doc_id", "n", "c"), F.struct("pop", -F.col("doc_id"))).alias("h"))
         hub = hub.select("band", "key", F.col("h.doc_id").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.c").alias("hub_c"))
         met = rest.join(hub, ["band", "key"])
         pairs = met.where((F.col("c") != F.col("hub_c")) & (100 * low >= percent * most))
-        pairs = pairs.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
-        found = verified(pairs, sets, percent).checkpoint()
-        edges = found if edges is None else edges.union(found)
-        labels = components(edges)
+        one, two = F.struct("doc_id", "c"), F.struct(F.col("hub").alias("doc_id"), F.col("hub_c").alias("c"))
+        pairs = pairs.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b"))
+        pairs = pairs.select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"), F.col("a.c").alias("ca"), F.col("b.c").alias("cb")).distinct()
+        labels = merged(labels, verified(pairs, sets, percent).distinct().checkpoint())
         # what is left of a bucket: its members without this hub, where they are of several components
         rest = met.where("doc_id != hub").select("band", "key", "doc_id", "n", "pop").join(labels, F.col("doc_id") == F.col("v"), "left")
         rest = rest.withColumn("c", F.coalesce("c", "doc_id")).drop("v")
@@ -261,7 +270,7 @@ def near_components(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     columns = [*keys, "doc_id", "n", "c", "bands", "shingles"]
     left, right = (x.select(*(F.col(c).alias(c) for c in columns)).groupBy(*keys) for x in (left, right))
     found = left.cogroup(right).applyInPandas(_block_edges(percent), "a long, b long").checkpoint()
-    return components(edges.union(found))
+    return merged(labels, found)
 
 
 def near_duplicates(df: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
