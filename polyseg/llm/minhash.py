@@ -16,7 +16,8 @@ after ``STAR_ROUNDS`` such rounds the remaining members of different components
 exhaustively and exactly, block against block of what their buckets connect (pairs that meet in
 ``MEET`` bands), and only a forest of the links found leaves a task.  Every link that
 counts is confirmed on the full shingle sets: ``100 * |A & B| >= percent * |A | B|``.
-Components come from iterated minimum labels over the verified edges (checkpointed each round).
+Components come from randomised contraction of the graph of verified links (checkpointed each
+round) until ``TAIL`` links are left, which one task joins by union-find.
 
 Sets hold 64-bit shingle hashes; two different shingles of a pair of documents collide with
 probability below 1e-9 even at 100,000 words each.
@@ -28,6 +29,7 @@ one vertex; an empty table gives no rows; extra columns are ignored here.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 
 import numpy as np
@@ -43,6 +45,7 @@ WORDS, PERCENT = 5, 85
 STAR_ROUNDS = 2
 BLOCK = 1024
 ROUND_ROWS = 1_000_000  # links a task of a component round takes (16 bytes each)
+TAIL = 16_384  # links that one task finishes
 MEET = 2  # bands two members share at least: at 0.85 fewer than that has probability 6e-7
 
 
@@ -145,34 +148,74 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("ca", "cb", "x", "y").mapInArrow(_verify(percent), "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(v, c): the smallest vertex reachable, by minimum labels with pointer jumping, for every vertex of an edge."""
+def components(edges: DataFrame, tail: int = TAIL) -> DataFrame:
+    """(v, c): the smallest vertex reachable, for every vertex of an edge (a, b), by randomised contraction.
+
+    In every round each vertex moves to the one of least hash among itself and its neighbours (another hash each
+    round), and the links are carried over to where their ends went; links inside one vertex vanish.  A round leaves
+    at most three quarters of the vertices in expectation, a star is one vertex after one or two rounds, and so all
+    rounds together handle a small multiple of the links instead of links times rounds.  The last ``tail`` links, a
+    constant number, are finished by union-find in one task.
+    """
     spark = edges.sparkSession
-    both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select(F.col("b").alias("v"), F.col("a").alias("u"))).distinct().checkpoint()
-    # many small rounds: tasks by the number of links, and no replanning of each stage, which only fills the driver
-    tasks = max(spark.sparkContext.defaultParallelism, -(-both.count() // ROUND_ROWS))
-    own = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(tasks)}
+    # checkpoints carry the constraints of the plans they cut, which multiply from round to round in the driver
+    with settings(spark, {"spark.sql.constraintPropagation.enabled": "false"}):
+        links = _undirected(edges, "a", "b").checkpoint()
+        # tasks by the number of links; replanning only where a hub's links may need splitting, as it fills the driver
+        tasks = -(-links.count() // ROUND_ROWS)
+        own = {"spark.sql.adaptive.enabled": str(tasks > 1).lower(), "spark.sql.shuffle.partitions": str(max(spark.sparkContext.defaultParallelism, tasks))}
+        with settings(spark, own):
+            return _contracted(links, tail)
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, own: dict[str, str]):
     before = {key: spark.conf.get(key) for key in own}
     try:
         for key, value in own.items():
             spark.conf.set(key, value)
-        return _components(both)
+        yield
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
 
 
-def _components(both: DataFrame) -> DataFrame:
-    labels = both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("c")).checkpoint()
-    while True:
-        near = both.join(labels.select(F.col("v").alias("u"), F.col("c").alias("d")), "u").groupBy("v").agg(F.min("d").alias("d"))
-        new = labels.join(near, "v").select("v", F.col("c").alias("old"), F.least("c", "d").alias("m"))
-        jump = labels.select(F.col("v").alias("m"), F.col("c").alias("j"))
-        new = new.join(jump, "m", "left").select("v", "old", F.least("m", F.coalesce("j", "m")).alias("c")).checkpoint()
-        moved = new.where("c < old").limit(1).count()
-        labels = new.select("v", "c")
-        if not moved:
-            return labels
+def _undirected(links: DataFrame, x: str, y: str) -> DataFrame:
+    return links.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).where("a < b").distinct()
+
+
+def _smallest(batches):
+    """(v, r): the smallest vertex reachable over the links of one task."""
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for b in batches:
+        for x, y in zip(b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True):
+            x, y = find(x), find(y)
+            root[max(x, y)] = min(x, y)
+    yield pa.RecordBatch.from_arrays([pa.array(root, pa.int64()), pa.array([find(x) for x in root], pa.int64())], ["v", "r"])
+
+
+def _contracted(links: DataFrame, tail: int) -> DataFrame:
+    moves = []
+    while links.count() > tail:
+        rank = lambda v, turn=len(moves): F.xxhash64(F.lit(turn), v)
+        ends = links.select(F.col("a").alias("v"), F.col("b").alias("u")).union(links.select(F.col("b").alias("v"), F.col("a").alias("u")))
+        near = ends.withColumn("h", rank("u")).groupBy("v").agg(F.min_by("u", "h").alias("u"), F.min("h").alias("h"))
+        move = near.select("v", F.when(rank("v") < F.col("h"), F.col("v")).otherwise(F.col("u")).alias("r")).checkpoint()
+        moves.append(move)
+        links = links.join(move.select(F.col("v").alias("a"), F.col("r").alias("x")), "a").join(move.select(F.col("v").alias("b"), F.col("r").alias("y")), "b")
+        links = _undirected(links, "x", "y").checkpoint()
+    moves.append(links.coalesce(1).mapInArrow(_smallest, "v long, r long"))
+    whole = moves.pop()
+    while moves:  # from the last, smallest round back to the first
+        whole = moves.pop().join(whole.select(F.col("v").alias("r"), F.col("r").alias("to")), "r", "left").select("v", F.coalesce("to", "r").alias("r"))
+    whole = whole.checkpoint()
+    return whole.join(whole.groupBy("r").agg(F.min("v").alias("c")), "r").select("v", "c").checkpoint()
 
 
 def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
