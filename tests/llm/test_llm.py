@@ -197,6 +197,22 @@ def test_minhash(spark, odd):
     assert minhash.near_duplicates(odd).count() == 8 and minhash.near_duplicates(nothing(spark)).count() == 0
 
 
+@pytest.mark.parametrize("tail", [0, 16, minhash.TAIL])
+def test_components(spark, tail):
+    """A path, a star, a self link, repeated links and small groups, in many rounds and by the tail alone."""
+    rng = random.Random(3)
+    links = [(i, i + 1) for i in range(60)] + [(500, i) for i in range(600, 700)] + [(-4, 500), (900, 900)] + [(rng.randrange(1000, 1090), rng.randrange(1000, 1090)) for _ in range(50)] * 2
+    group = {v: {v} for link in links if link[0] != link[1] for v in link}
+    for a, b in links:
+        if a != b and group[a] is not group[b]:
+            group[a] |= group[b]
+            for v in group[b]:
+                group[v] = group[a]
+    got = minhash.components(spark.createDataFrame(links, "a long, b long"), tail).collect()
+    assert len(got) == len(group) and all(r.c == min(group[r.v]) for r in got)
+    assert minhash.components(spark.createDataFrame([], "a long, b long"), tail).count() == 0
+
+
 def test_superminhash_estimates():
     rng = np.random.default_rng(4)
     a = rng.integers(1, 2**63, 400, dtype=np.uint64)
