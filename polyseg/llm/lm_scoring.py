@@ -12,9 +12,11 @@ next id's class; ``P(id) = P(class | context) * P(id | class)``, where classes h
 alone and the others by kind and frequency, and ``P(id | class)`` comes from the ids' counts in
 all training documents.  Texts are covered by windows of ``WINDOW`` inputs every ``STRIDE``; a
 window scores only what the one before it didn't, so each id is scored once with at least
-``WINDOW - STRIDE`` ids of context, in masked batches.  The weights are fitted on the driver on
-at most ``SAMPLE`` training documents (smallest hash; documented bound); every count covers all
-training documents.
+``WINDOW - STRIDE`` ids of context, in masked batches.  The weights learn from every training
+document, whatever its length: documents are dealt by hash into rounds (``ROUNDS``) of groups of
+about ``FIT_BYTES``; a group fits a copy of the weights that the round before left, and the moves
+of a round's groups are averaged row by row (an embedding by how often each group used it), first
+inside tasks, then by ranges of rows.  Only averages of the model's size come to the driver.
 
 Defined cases: null and empty texts consist of their end; a null id counts as the empty text in
 the training rule; rows sharing an id are scored alike but counted each; without any training
@@ -24,6 +26,7 @@ document, counts are zero and the model keeps its starting weights; an empty tab
 from __future__ import annotations
 
 import base64
+import copy
 from functools import lru_cache
 from itertools import chain
 
@@ -39,9 +42,12 @@ END, N_IDS = 50_256, 50_257
 WINDOW, STRIDE = 32, 24
 WIDTH, INNER = 16, 32
 SINGLES, BINS = 128, 16
-SAMPLE, SAMPLE_BYTES = 800, 40_000
+ROUNDS = ((1 / 16, 0.015), (1 / 4, 0.01), (1.0, 0.007))  # up to which share of the documents, and the rate
+FIT_BYTES = 4_000_000
+FEW_WINDOWS = 20_000  # groups below go over their windows twice
 BLOCK_BYTES = 8_000_000
 MERGERS = 8
+RANGES = 64
 LN10 = float(np.log(10))
 
 
@@ -140,13 +146,13 @@ def assign_classes(counts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray,
     return cls, np.log(weight / np.bincount(cls, weight, SINGLES + 2 * BINS)[cls])
 
 
-def cut_windows(ro: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def cut_windows(ro: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(position of the first input, rows' ends, first scored place) of all windows of rows."""
     n = np.diff(ro)
-    count = 1 + np.maximum(0, -(-(n - WINDOW) // STRIDE))
+    count = 1 + np.maximum(0, -(-(n - WINDOW) // stride))
     row = np.repeat(np.arange(len(n)), count)
     k = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    return ro[row] + k * STRIDE, ro[row + 1], np.where(k > 0, WINDOW - STRIDE, 0)
+    return ro[row] + k * stride, ro[row + 1], np.where(k > 0, WINDOW - stride, 0)
 
 
 class AttentionModel:
@@ -210,23 +216,28 @@ class AttentionModel:
             np.minimum(out, np.float32(60), out=out)
         return out
 
-    def fit(self, ids: np.ndarray, ro: np.ndarray, epochs: int = 2, batch: int = 96, rate: float = 0.015, seed: int = 6) -> AttentionModel:
-        start, end, _ = cut_windows(ro)
+    def fit(self, ids: np.ndarray, ro: np.ndarray, batch: int = 96, rate: float = 0.015, seed: int = 6) -> AttentionModel:
+        """Fit on windows side by side, which hold each id once."""
+        start, end, _ = cut_windows(ro, WINDOW)
+        before = np.concatenate([[END], ids[:-1]]).astype(np.int32)
+        before[ro[:-1]] = END
+        epochs = 2 if len(start) < FEW_WINDOWS else 1
         p, rng, t = self.p, np.random.default_rng(seed), 0
         m = {k: np.zeros_like(v) for k, v in p.items()}
         v2 = {k: np.zeros_like(v) for k, v in p.items()}
         steps = max(1, epochs * (-(-len(start) // batch)))
         for _ in range(epochs):
             for at in np.array_split(rng.permutation(len(start)), max(1, len(start) // batch)):
-                x, y, good, _ = self._batch(ids, ro, start[at], end[at])
+                at = start[at, None] + np.arange(WINDOW), end[at, None]
+                good, at = at[0] < at[1], np.minimum(at[0], len(ids) - 1)
+                x, y = before[at], ids[at]
                 logits, (a, q, k, v, s, mm, yy, z, h) = self._forward(x)
                 b, tt, d = a.shape
                 logits -= logits.max(axis=1, keepdims=True)
                 e = np.exp(logits)
                 e /= e.sum(axis=1, keepdims=True)
                 e[np.arange(len(e)), self.cls[y.ravel()]] -= 1
-                e *= (good.ravel() / good.sum())[:, None]
-                e = e.astype(np.float32)
+                e *= (good.ravel() / np.float32(good.sum())).astype(np.float32)[:, None]
                 g = {"out": h.T @ e, "bias": e.sum(axis=0)}
                 dh = e @ p["out"].T
                 dz = (dh @ p["w2"].T) * (z > 0)
@@ -241,11 +252,11 @@ class AttentionModel:
                 da = dy + dqkv @ p["qkv"].T
                 g["pos"] = da.reshape(b, tt, d).sum(axis=0)
                 flat = x.ravel()
-                used, inverse = np.unique(flat, return_inverse=True)
-                de = np.zeros((len(used), d), np.float32)
-                np.add.at(de, inverse, da)
+                order = np.argsort(flat, kind="stable")
+                used, first = np.unique(flat[order], return_index=True)
+                de = np.add.reduceat(da.reshape(-1, d)[order], first)
                 g["cls"] = np.zeros_like(p["cls"])
-                np.add.at(g["cls"], self.cls[flat], da)
+                np.add.at(g["cls"], self.cls[used], de)
                 t += 1
                 lr = rate * min(1.0, 2 * (1 - t / (steps + 1)))
                 for name, w in p.items():
@@ -259,16 +270,6 @@ class AttentionModel:
                     w -= (lr * (m[name] / (1 - 0.9**t)) / (np.sqrt(v2[name] / (1 - 0.99**t)) + 1e-6)).astype(np.float32)
         return self
 
-    @staticmethod
-    def _batch(ids, ro, start, end):
-        """Inputs (the id before each place; END before a row's first), targets, valid places, places."""
-        at = start[:, None] + np.arange(WINDOW)
-        good = at < end[:, None]
-        at = np.minimum(at, len(ids) - 1)
-        x = ids[np.maximum(at - 1, 0)]
-        x[:, 0] = np.where(np.isin(start, ro), END, x[:, 0])
-        return x, ids[at], good, at
-
     def score(self, ids: np.ndarray, ro: np.ndarray, batch: int = 256) -> np.ndarray:
         """Natural log probability of each row's ids."""
         start, end, skip = cut_windows(ro)
@@ -293,6 +294,91 @@ class AttentionModel:
         return np.add.reduceat(out, ro[:-1]) if len(ro) > 1 else np.zeros(0)
 
 
+    def rows(self) -> np.ndarray:
+        """All weights as rows of WIDTH: the embeddings, then the others (padded)."""
+        rest = np.concatenate([v.ravel() for k, v in self.p.items() if k != "emb"])
+        return np.concatenate([self.p["emb"], np.pad(rest, (0, -len(rest) % WIDTH)).reshape(-1, WIDTH)])
+
+    def moved(self, by: np.ndarray) -> AttentionModel:
+        """A copy with all weights moved by rows."""
+        out, at = copy.copy(self), 0
+        out.p = {"emb": (self.p["emb"] + by[:N_IDS]).astype(np.float32)}
+        rest = by[N_IDS:].ravel()
+        for k, v in self.p.items():
+            if k != "emb":
+                out.p[k] = (v + rest[at : at + v.size].reshape(v.shape)).astype(np.float32)
+                at += v.size
+        return out
+
+
+MODEL_ROWS = len(AttentionModel(np.ones(N_IDS), np.arange(N_IDS) % 2 == 0).rows())
+RANGE = -(-MODEL_ROWS // RANGES)
+#: A row's move: its number, how much it counts, and the sum of moves times that.
+MOVE = np.dtype([("row", "<i4"), ("weight", "<f8"), ("by", "<f4", WIDTH)])
+
+
+def _add_moves(batches):
+    """Sums of all moves of a task by row, as one blob per range of rows."""
+    parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for b in batches:
+        for part, blob in zip(b.column("part").to_pylist(), b.column("moves").to_pylist(), strict=True):
+            m = np.frombuffer(blob, MOVE)
+            if part not in parts:
+                parts[part] = np.zeros(RANGE), np.zeros((RANGE, WIDTH))
+            parts[part][0][m["row"] - part * RANGE] += m["weight"]
+            parts[part][1][m["row"] - part * RANGE] += m["by"]
+    if parts:
+        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array([_blob(part, *sums) for part, sums in parts.items()], pa.binary())], ["part", "moves"])
+
+
+def _blob(part: int, weight: np.ndarray, by: np.ndarray) -> bytes:
+    at = np.flatnonzero(weight)
+    out = np.empty(len(at), MOVE)
+    out["row"], out["weight"], out["by"] = at + part * RANGE, weight[at], by[at]
+    return out.tobytes()
+
+
+def _learn(model, rate: float, path: str):
+    """A group's moves of the broadcast model's weights, by ranges of rows."""
+
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        text = group.sort_by([("order", "ascending"), ("text", "ascending")]).column("text")
+        sample = [subwords(lexicon(path), d, s, e, wo, grouped) for _, _, d, s, e, wo, grouped in _block_words(text)]
+        ids = np.concatenate([x for x, _ in sample])
+        ro = np.cumsum([0, *np.concatenate([np.diff(o) for _, o in sample])])
+        old = model.value
+        rows = old.rows()
+        new = old.moved(np.zeros_like(rows)).fit(ids, ro, rate=rate)
+        weight = np.full(len(rows), float(len(ids)))
+        weight[:N_IDS] = np.bincount(ids, minlength=N_IDS)  # each row's END stands before its first id
+        by = (new.rows() - rows) * weight[:, None]
+        parts = range(RANGES)
+        return pa.table({"part": pa.array(parts, pa.int64()), "moves": pa.array([_blob(i, weight[i * RANGE : (i + 1) * RANGE], by[i * RANGE : (i + 1) * RANGE]) for i in parts], pa.binary())})
+
+    return run
+
+
+def learn(model: AttentionModel, docs: DataFrame, size: int, path: str) -> AttentionModel:
+    """The model fitted on all of docs(doc_id, text), about ``size`` bytes."""
+    rounds = ROUNDS if size > FIT_BYTES else ((1.0, ROUNDS[0][1]),)
+    docs = docs.select("text", F.xxhash64(F.lit(1), "doc_id", "text").alias("order"))
+    place, low = F.pmod("order", F.lit(1 << 20)), 0
+    for share, rate in rounds:
+        high = int(share * (1 << 20))
+        groups = max(1, -(-size * (high - low) // (FIT_BYTES << 20)))
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+        here = docs.where((place >= low) & (place < high)).withColumn("group", F.pmod(F.xxhash64(F.lit(2), "order"), F.lit(groups)))
+        moves = here.groupBy("group").applyInArrow(_learn(shared, rate, path), "part long, moves binary").mapInArrow(_add_moves, "part long, moves binary")
+        by, weight = np.zeros((MODEL_ROWS, WIDTH)), np.ones(MODEL_ROWS)
+        for r in moves.repartition(MERGERS, "part").mapInArrow(_add_moves, "part long, moves binary").collect():  # the model's size
+            m = np.frombuffer(r["moves"], MOVE)
+            by[m["row"]], weight[m["row"]] = m["by"], m["weight"]
+        model = model.moved(by / weight[:, None])
+        shared.unpersist()
+        low = high
+    return model
+
+
 def _block_words(text: pa.Array):
     for first, n, data, off in pieces(text, 1_500_000):
         s, e, wo = words(data, off)
@@ -372,7 +458,8 @@ def score_documents(df: DataFrame, path: str = VOCABULARY, folds: int = 5, held_
     text = F.coalesce(F.col(text_col), F.lit(""))
     fold = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), (fold == held_fold).alias("held_out"))
-    blocks = int(max(partitions(spark), total_bytes(docs, "text") // BLOCK_BYTES))
+    size = total_bytes(docs, "text")
+    blocks = int(max(partitions(spark), size // BLOCK_BYTES))
     docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
     asked = docs.groupBy("block").applyInArrow(_ask(blocks, path), "bucket long, block long, blob binary").checkpoint()
     answered = asked.where("bucket >= 0").groupBy("bucket").applyInArrow(_answer, "block long, bucket long, totals binary").checkpoint()
@@ -391,20 +478,7 @@ def score_documents(df: DataFrame, path: str = VOCABULARY, folds: int = 5, held_
     for b, i in tokenizer(path)._mergeable_ranks.items():
         starts[i] = b[:1] == b" "
 
-    # ids first, so that tasks send texts of the sample only
-    order = F.xxhash64(F.lit(1), "doc_id")
-    able = docs.where(~F.col("held_out") & (F.octet_length("text") < SAMPLE_BYTES)).withColumn("order", order)
-    last = able.select("order").orderBy("order").limit(SAMPLE).agg(F.max("order")).first()[0]
-    few = able.where(F.col("order") <= F.lit(last).cast("long")).orderBy("order", "doc_id").select("text").limit(SAMPLE).collect()
-    model = AttentionModel(counts, starts)
-    sample = [subwords(lexicon(path), d, s, e, wo, grouped) for _, _, d, s, e, wo, grouped in _block_words(pa.array([r["text"] for r in few], pa.string()))] if few else []
-    if sample:
-        ids, at = np.concatenate([x for x, _ in sample]), 0
-        ro = [np.zeros(1, np.int64)]
-        for x, o in sample:
-            ro.append(o[1:] + at)
-            at += len(x)
-        model.fit(ids, np.concatenate(ro))
+    model = learn(AttentionModel(counts, starts), docs.where(~F.col("held_out")), size, path)
     shared = spark.sparkContext.broadcast(model)  # of the vocabulary's size
 
     z = np.log10(n_total + 0.5 * (n_words + 1))

@@ -231,3 +231,14 @@ def test_pipeline(spark):
         assert docs.columns == columns and 0 < docs.count() <= kept
         kept = docs.count()
     assert len(registry.QUERIES) == 10
+
+
+@pytest.mark.parametrize("group", [lm_scoring.FIT_BYTES, 300_000])
+def test_lm_learns_from_long_texts(spark, monkeypatch, group):
+    """Training texts of 45,000 bytes alone teach what follows what, in one group and in averaged rounds of groups."""
+    monkeypatch.setattr(lm_scoring, "FIT_BYTES", group)
+    rows = [(i, "red blue " * 5000) for i in range(40) if zlib.crc32(str(i).encode()) % 5 != 1]
+    held = next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 5 == 1)
+    docs = spark.createDataFrame([*rows, (held, "red blue " * 50)], "doc_id long, text string")
+    got = {r.doc_id: r for r in lm_scoring.score_documents(docs).collect()}
+    assert len(got) == len(rows) + 1 and got[held].score > 0.3 * got[held].base_score
