@@ -6,13 +6,17 @@ it stands in each) is kept as a linear sketch, ``sum over pages of count * mix(p
 2^64 with its support, so it is one mergeable aggregate and no host's pages ever meet in one
 task; tokens of a host with equal sketches form an equivalence class.  A class is valid if it
 is large and frequent enough (``MIN_SIZE`` tokens, on at least ``MIN_SHARE`` of the host's pages
-and ``MIN_PAGES`` of them).  Valid classes nest by the paths their tokens carry; their tokens
-are the template, and what stands between template tokens are the slots.
-
-A slot is extracted where its enclosing template position is content: inside the page's article
-or main element if there is one, and never inside navigation, headers and footers of the page,
-side bars, notices, adverts, forms, scripts, styles, hidden parts or reader comments.  Text
-nodes of the template itself are kept only inside the article.
+and ``MIN_PAGES`` of them, and on as many different pages: a bitmap of page hashes tells copies
+from pages).  Valid classes nest by the paths their tokens carry; their tokens are the template,
+and what stands between template tokens are the slots.  Text nodes of the template are never
+extracted; inside an article, only text on ``FIXED_SHARE`` of the host's pages is template, so
+that a group of near copies keeps its text.
+
+A slot is content by the template elements (tag tokens of valid classes) it nests in: the page's
+article or main elements if these hold at least half of the slots' text, else the innermost
+template container that holds ``CONTENT_SHARE`` of it.  A check by tag and class follows:
+navigation, headers and footers of the page, side bars, notices, adverts, forms, scripts,
+styles, hidden parts and reader comments are never extracted and don't count.
 
 Defined cases: null html is empty and gives the empty text; pages without a usable url share
 the host ''; hosts with fewer than ``MIN_PAGES`` pages have no template and are read by the
@@ -32,6 +36,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import small_batches, table
 
 MIN_PAGES, MIN_SHARE, MIN_SIZE = 3, 0.5, 2
+FIXED_SHARE, CONTENT_SHARE = 0.9, 0.9
+#: Elements that may hold all of a page's content.
+CONTAINERS = frozenset("article body center div html main section table tbody td".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -67,30 +74,31 @@ def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
 
 
 def tokens(page: str):
-    """(kind, tag or text, path, dropped, articles open) in page order; kind: 1 opens, 2 closes, 0 text."""
-    stack: list[tuple[str, bool, int, str]] = []  # tag, dropped, articles, path
+    """(kind, tag or text, path, dropped, articles open, containers open) in page order; kind: 1 opens, 2 closes, 0 text."""
+    stack: list[tuple[str, bool, int, str, tuple]] = []  # tag, dropped, articles, path, places and tag tokens of containers
     at, end = 0, len(page)
     while at < end:
         m = TOKEN.match(page, at)
         at = m.end()
         closes, tag, attributes = m.group(1, 2, 3)
-        dropped, articles, path = stack[-1][1:] if stack else (False, 0, "")
+        dropped, articles, path, inside = stack[-1][1:] if stack else (False, 0, "", ())
         if tag is None:
             text = m.group()
             if text[:4] != "<!--" and text[:2] not in ("<!", "<?"):
-                yield 0, text, path, dropped, articles
+                yield 0, text, path, dropped, articles, inside
             continue
         tag = tag.lower()
         if closes:
             if any(x[0] == tag for x in stack):
                 while stack and stack.pop()[0] != tag:
                     pass
-            yield 2, tag, stack[-1][3] if stack else "", dropped, articles
+            yield 2, tag, stack[-1][3] if stack else "", dropped, articles, inside
             continue
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == tag:
             stack.pop()
-            dropped, articles, path = stack[-1][1:] if stack else (False, 0, "")
-        yield 1, tag, path + "/" + tag + (attributes and "[" + ",".join(sorted("".join(x[1:]) for x in ATTRIBUTE.findall(attributes) if x[0].lower() == "class")) + "]"), dropped, articles
+            dropped, articles, path, inside = stack[-1][1:] if stack else (False, 0, "", ())
+        token = path + "/" + tag + (attributes and "[" + ",".join(sorted("".join(x[1:]) for x in ATTRIBUTE.findall(attributes) if x[0].lower() == "class")) + "]")
+        yield 1, tag, token, dropped, articles, inside
         if tag in VOID or attributes.rstrip().endswith("/"):
             continue
         if tag in RAW:
@@ -100,7 +108,7 @@ def tokens(page: str):
         gone = dropped or _dropped(tag, attributes, articles > 0)
         is_article = tag in ("article", "main") and not gone
         # an inline element left open must not colour what follows: only block paths grow
-        stack.append((tag, gone, articles + is_article, path + "/" + tag if tag in BLOCK else path))
+        stack.append((tag, gone, articles + is_article, path + "/" + tag if tag in BLOCK else path, (*inside, (at, token)) if tag in CONTAINERS else inside))
 
 
 def _hash(text: str) -> int:
@@ -109,65 +117,85 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) >> 1
 
 
-def template_tokens(page: str) -> dict[int, int]:
-    """Occurrences of each token of a page."""
-    out: dict[int, int] = {}
-    for kind, what, path, _, _ in tokens(page):
+def template_tokens(page: str) -> dict[int, tuple[int, bool]]:
+    """Occurrences of each token of a page, and whether it is text inside an article."""
+    out: dict[int, tuple[int, bool]] = {}
+    for kind, what, path, _, articles, _ in tokens(page):
         if kind == 0:
             what = " ".join(what.split())
             if not what:
                 continue
         h = _hash(f"{kind} {path} {what}" if kind != 1 else f"1 {path}")
-        out[h] = out.get(h, 0) + 1
+        out[h] = out.get(h, (0,))[0] + 1, kind == 0 and articles > 0
     return out
 
 
+def _content(slots: list[tuple[int, int, tuple]], template: frozenset | set):
+    """The place of the container whose slots are content; None: the articles, or all without any."""
+    total, own = sum(n for n, _, _ in slots), sum(n for n, articles, _ in slots if articles)
+    if not template or 2 * own >= total:
+        return None
+    held: dict[tuple[int, int, str], int] = {}
+    for n, _, inside in slots:
+        for depth, (at, token) in enumerate(inside):
+            held[depth, at, token] = held.get((depth, at, token), 0) + n
+    able = [key for key, n in held.items() if n >= CONTENT_SHARE * total and _hash(f"1 {key[2]}") in template]
+    return max(able)[1] if able else -1
+
+
 def main_text(page: str, template: frozenset | set) -> str:
     """Text of the slots that hold the article."""
-    blocks: list[tuple[int, bool, list[str]]] = [(0, False, [])]
-    any_article = False
-    for kind, what, path, dropped, articles in tokens(page):
+    blocks: list[list[tuple[str, int, tuple]]] = [[]]
+    for kind, what, path, dropped, articles, inside in tokens(page):
         if kind:
-            if what in BLOCK and blocks[-1][2]:
-                blocks.append((0, False, []))
+            if what in BLOCK and blocks[-1]:
+                blocks.append([])
             continue
-        if dropped:
+        if dropped or template and _hash(f"0 {path} {' '.join(what.split())}") in template:
             continue
-        fixed = not articles and _hash(f"0 {path} {' '.join(what.split())}") in template
-        any_article |= articles > 0 and not what.isspace()
-        if not fixed:
-            blocks[-1][2].append(what)
-            blocks[-1] = (max(blocks[-1][0], articles), False, blocks[-1][2])
-    texts = (" ".join(entities.unescape("".join(parts)).split()) for level, _, parts in blocks if parts and (level or not any_article))
+        blocks[-1].append((what, articles, inside))
+    slots = [(len("".join(what.split())), articles, inside) for parts in blocks for what, articles, inside in parts]
+    place = _content(slots, template)
+    any_article = any(n and articles for n, articles, _ in slots)
+    if place is None:
+        kept = [parts for parts in blocks if not any_article or any(articles for _, articles, _ in parts)]
+    else:
+        kept = [[x for x in parts if place < 0 or any(at == place for at, _ in x[2])] for parts in blocks]
+    texts = (" ".join(entities.unescape("".join(what for what, _, _ in parts)).split()) for parts in kept if parts)
     return " ".join(x for x in texts if x)
 
 
 def _token_rows(batches):
     for b in batches:
-        sums: dict[tuple[int, int], list[int]] = {}
+        sums: dict[tuple[int, int, bool], list[int]] = {}
         for host, html in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
             page = _hash(html) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
             page ^= page >> 29
-            for h, n in template_tokens(html).items():
-                s = sums.setdefault((host, h), [0, 0])
+            for h, (n, in_article) in template_tokens(html).items():
+                s = sums.setdefault((host, h, in_article), [0, 0, 0])
                 s[0] += 1
                 s[1] = s[1] + n * page & 0xFFFFFFFFFFFFFFFF
+                s[2] |= 1 << (page & 63)
         if sums:
-            host, token = (np.array(x, np.int64) for x in zip(*sums, strict=True))
-            pages, sketch = zip(*sums.values(), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(host), pa.array(token), pa.array(pages, pa.int64()), pa.array(np.array(sketch, np.uint64).view(np.int64))], ["host", "token", "pages", "sketch"])
+            host, token, in_article = zip(*sums, strict=True)
+            pages, sketch, seen = zip(*sums.values(), strict=True)
+            wide = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(host, pa.int64()), pa.array(token, pa.int64()), pa.array(in_article, pa.bool_()), pa.array(pages, pa.int64()), wide(sketch), wide(seen)], ["host", "token", "in_article", "pages", "sketch", "seen"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """(host, template): tokens of the valid equivalence classes of pages(host, html)."""
     size = pages.groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
-    vector = pages.mapInArrow(_token_rows, "host long, token long, pages long, sketch long").groupBy("host", "token").agg(
+    vector = pages.mapInArrow(_token_rows, "host long, token long, in_article boolean, pages long, sketch long, seen long").groupBy("host", "token").agg(
         F.sum("pages").alias("pages"),
+        F.max("in_article").alias("in_article"),
+        F.bit_count(F.bit_or("seen")).alias("different"),
         # addition modulo 2^64 that doesn't overflow: the halves apart
         F.sum(F.expr("sketch & 4294967295L")).alias("low"),
         F.sum(F.expr("shiftrightunsigned(sketch, 32)")).alias("high"),
     )
-    vector = vector.where(F.col("pages") >= MIN_PAGES).join(size, "host").where(F.col("pages") >= MIN_SHARE * F.col("n"))
+    share = F.when(F.col("in_article"), FIXED_SHARE).otherwise(MIN_SHARE)
+    vector = vector.where(f"pages >= {MIN_PAGES} and different >= {MIN_PAGES}").join(size, "host").where(F.col("pages") >= share * F.col("n"))
     low, high = F.expr("low % 4294967296L"), F.expr("(high + low div 4294967296L) % 4294967296L")
     classes = vector.groupBy("host", "pages", low.alias("s0"), high.alias("s1")).agg(F.collect_list("token").alias("tokens"))
     classes = classes.where(F.size("tokens") >= MIN_SIZE)

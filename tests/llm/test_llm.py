@@ -242,3 +242,17 @@ def test_lm_learns_from_long_texts(spark, monkeypatch, group):
     docs = spark.createDataFrame([*rows, (held, "red blue " * 50)], "doc_id long, text string")
     got = {r.doc_id: r for r in lm_scoring.score_documents(docs).collect()}
     assert len(got) == len(rows) + 1 and got[held].score > 0.3 * got[held].base_score
+
+
+def test_html_template_decides(spark):
+    """Fixed text of a host goes inside articles too, but not the text of copies; a small article doesn't hide the slots around it."""
+    def page(i, same="own"):
+        return f"<html><body><nav>m{i}</nav><div class='top'>Our Site</div><div class='x'><p>long story {i} of many words here</p></div><article><p>{same} note {i}</p><div class='zz'>Get our app</div></article></body></html>"
+
+    def long(i):
+        return f"<html><body><p>Site {i}</p><article><h1>Title {i}</h1><p>story {i} goes on and on</p><p class='zz'>Get our app</p></article></body></html>"
+
+    rows = [(i, "http://a/x", page(i)) for i in range(5)] + [(10 + i, "http://b/x", long(i)) for i in range(5)] + [(20 + i, "http://c/x", long(9)) for i in range(5)]
+    got = {r.page_id: r.text for r in html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = {i: f"long story {i} of many words here own note {i}" for i in range(5)} | {10 + i: f"Title {i} story {i} goes on and on" for i in range(5)}
+    assert got == want | {20 + i: "Title 9 story 9 goes on and on Get our app" for i in range(5)}
