@@ -136,8 +136,10 @@ def pair_verdicts(spark, d):
     return turns.join(old, ["conv_id", "turn"], "left").select("conv_id", "turn", checks.pair_verdict(F.col("old"), F.col("line")).alias("drift")).where("drift is not null")
 
 
-def _findings(spark, d, sources) -> DataFrame:
-    docs = _docs(spark, d, True).where(F.col("source").isin(*sources))
+def _findings(spark, d, sources=None) -> DataFrame:
+    docs = _docs(spark, d, True)
+    if sources is not None:
+        docs = docs.where(F.col("source").isin(*sources))
     return docs.select(F.lit("residual").alias("check"), F.col("file").cast("string").alias("file"), F.lit(None).cast("string").alias("detail"), F.regexp_count("text", F.lit(CHINESE.has())).cast("long").alias("n")).unionByName(
         docs.select(F.lit("lang").alias("check"), F.col("file").cast("string").alias("file"), F.col("lang").alias("detail"), F.lit(None).cast("long").alias("n"))
     )
@@ -148,7 +150,7 @@ def baseline_diff(spark, d):
 
 
 def top_findings(spark, d):
-    return checks.top_findings(_findings(spark, d, tuple(f"src{i}" for i in range(20)))).select("check", "file", "detail", "n", "rank")
+    return checks.top_findings(_findings(spark, d)).select("check", "file", "detail", "n", "rank")
 
 
 def gate_verdict(spark, d):

@@ -142,3 +142,14 @@ def test_tree_end_to_end(spark, tmp_path):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).limit(1).count() == 1
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_top_findings_of_all_sources(spark, tmp_path):
+    """Documents without a source or of any name are ranked too, as in the SQL."""
+    rows = [(1, "aeiou", "en", "src0"), (2, "aeiou aeiou", "de", None), (3, "aeiou aeiou aeiou", "es", "hot")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.check, r.file, r["rank"]) for r in queries.top_findings(spark, str(tmp_path)).collect()}
+    assert {x for x in got if x[0] == "residual"} == {("residual", "3", 1), ("residual", "2", 2), ("residual", "1", 3)}
+    db = duckdb.connect()
+    db.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == {(c, f, r) for c, f, _, _, r in db.sql(queries.ORACLE_SQL["top_findings"]).fetchall()}
