@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from polyseg.llm.common import table
 from polyseg.llm.decontamination import with_contamination
-from polyseg.llm.minhash import near_duplicates
+from polyseg.llm.minhash import without_near_duplicates
 from polyseg.llm.mixing import expand_copies, mix_sources
 from polyseg.llm.sharding import interleave_shards
 from polyseg.llm.toxicity import toxic_labels, with_severity
@@ -25,10 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group; of rows that share an id, one."""
-    kept = near_duplicates(docs, SIMILAR_PERCENT).where("kept").select("doc_id").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    return docs.join(kept.withColumnRenamed("doc_id", "kept_id"), same, "left_semi").dropDuplicates(["doc_id"])
+    """One row of each group, of smallest id; null and repeated ids lose only copies."""
+    return without_near_duplicates(docs, SIMILAR_PERCENT)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,8 +23,9 @@ Sets hold 64-bit shingle hashes; two different shingles of a pair of documents c
 probability below 1e-9 even at 100,000 words each.
 
 Defined cases: null or blank text has an empty set and is linked with nothing; fewer than five
-words are one shingle; rows with a null id take part under the null id; rows sharing an id are
-one vertex; an empty table gives no rows; extra columns are ignored here.
+words are one shingle; vertices are the classes (63 bits of their hash), so rows with a null id
+and rows that share an id but not a text are linked by their own texts; a component's id is the
+smallest id in it, null if it has none; an empty table gives no rows; extra columns are ignored here.
 """
 
 from __future__ import annotations
@@ -97,10 +98,16 @@ def shingle_sets(column: pa.Array, k: int = WORDS, piece: int = 1_000_000):
         yield first, g, so, keys
 
 
-def _class_rows(batches):
-    for b in batches:
-        for first, _, so, keys in shingle_sets(b.column("text")):
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(first, len(keys)), pa.array(np.diff(so), pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "n_shingles", "key"])
+def _class_rows(*carried: str):
+    """Carried columns, the size of the set and the class of each row."""
+
+    def run(batches):
+        for b in batches:
+            for first, _, so, keys in shingle_sets(b.column("text")):
+                vertex = [None if k is None else int.from_bytes(k[:8], "little") >> 1 for k in keys]
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(first, len(keys)) for c in carried), pa.array(np.diff(so), pa.int64()), pa.array(vertex, pa.int64())], [*carried, "n_shingles", "v"])
+
+    return run
 
 
 def _band_rows(batches):
@@ -316,21 +323,42 @@ def near_components(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     return merged(labels, found)
 
 
+def class_components(docs: DataFrame, percent: int) -> DataFrame:
+    """(v, c) for the classes of docs(text) that have a link."""
+    texts = docs.select("text").mapInArrow(_class_rows("text"), "text string, n_shingles long, v long").where("v is not null")
+    return near_components(texts.groupBy(F.col("v").alias("doc_id")).agg(F.min("text").alias("text")), percent)
+
+
 def near_duplicates(df: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``df``."""
     spark = df.sparkSession
     ensure_checkpoints(spark)
     small_batches(spark)
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    keyed = docs.mapInArrow(_class_rows, "doc_id long, n_shingles long, key binary").checkpoint()
-    first = keyed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
-    reps = first.select(F.col("rep").alias("doc_id"))
-    classes = docs.join(reps, "doc_id", "left_semi").where("doc_id is not null")
-    linked = near_components(classes, percent)
-    label = first.join(linked, F.col("rep") == F.col("v"), "left").select("key", F.coalesce("c", "rep").alias("component_id"))
-    out = keyed.join(label, "key", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    keyed = docs.mapInArrow(_class_rows("doc_id"), "doc_id long, n_shingles long, v long").checkpoint()
+    first = keyed.where("v is not null").groupBy("v").agg(F.min("doc_id").alias("rep"))
+    label = first.join(class_components(docs, percent), "v", "left").withColumn("c", F.coalesce("c", "v"))
+    smallest = label.groupBy("c").agg(F.min("rep").alias("component_id"))
+    out = keyed.join(label.join(smallest, "c").select("v", "component_id"), "v", "left")
+    out = out.withColumn("component_id", F.when(F.col("v").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def without_near_duplicates(df: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``df`` per component, of smallest id (null last); rows without words are all kept."""
+    spark = df.sparkSession
+    ensure_checkpoints(spark)
+    small_batches(spark)
+    blank = F.coalesce(F.col(text_col), F.lit("")).rlike(r"\A[\x20\x09-\x0D]*\z")
+    worded = df.where(~blank)
+    docs = worded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(*df.columns).alias("row"))
+    keyed = docs.mapInArrow(_class_rows("doc_id", "row"), "doc_id long, row long, n_shingles long, v long").checkpoint()
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
+    label = keyed.groupBy("v").agg(best).join(class_components(docs, percent), "v", "left")
+    best = label.groupBy(F.coalesce("c", "v").alias("c")).agg(F.min("best").alias("best")).select(F.col("best.row").alias("__row"))
+    rows = worded.withColumn("__row", F.xxhash64(*df.columns)).join(best.distinct(), "__row", "left_semi").dropDuplicates(["__row"])
+    return rows.drop("__row").unionByName(df.where(blank))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

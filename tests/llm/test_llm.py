@@ -256,3 +256,19 @@ def test_html_template_decides(spark):
     got = {r.page_id: r.text for r in html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     want = {i: f"long story {i} of many words here own note {i}" for i in range(5)} | {10 + i: f"Title {i} story {i} goes on and on" for i in range(5)}
     assert got == want | {20 + i: "Title 9 story 9 goes on and on Get our app" for i in range(5)}
+
+
+def test_near_dedup_stage_of_null_and_repeated_ids(spark):
+    """Different texts stay, whatever their ids; of copies one row stays, and rows without words stay."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    text = [" ".join(f"w{rng.randint(0, 999)}" for _ in range(60)) for _ in range(12)]
+    near = text[0] + " end"
+    rows = [*((None, t, "s") for t in text[:6]), (7, text[6], "s"), (7, text[7], "s"), (3, near, "s"), (9, text[8], "s"), (9, text[8], "s"), (7, near.upper(), "t"), (None, None, "s"), (None, "", "s"), (11, " \n", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()]
+    want = [*rows[1:10], *rows[12:]]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    out = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs, 80).collect()}
+    assert {(None, 3, False), (None, None, True), (7, 3, False), (3, 3, True), (7, 7, True)} <= out
