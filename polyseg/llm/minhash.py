@@ -14,7 +14,7 @@ whose buckets are largest, usually the text the others were copied from) is comp
 rest, verified links are joined, and only buckets that still hold several components go on;
 after ``STAR_ROUNDS`` such rounds the remaining members of different components are compared
 exhaustively and exactly, block against block of what their buckets connect (pairs that meet in
-``MEET`` bands), and only a forest of the links found leaves a task.  Every link that
+a band), and only a forest of the links found leaves a task.  Every link that
 counts is confirmed on the full shingle sets: ``100 * |A & B| >= percent * |A | B|``.
 Components come from randomised contraction of the graph of verified links (checkpointed each
 round) until ``TAIL`` links are left, which one task joins by union-find.
@@ -47,7 +47,6 @@ STAR_ROUNDS = 2
 BLOCK = 1024
 ROUND_ROWS = 1_000_000  # links a task of a component round takes (16 bytes each)
 TAIL = 16_384  # links that one task finishes
-MEET = 2  # bands two members share at least: at 0.85 fewer than that has probability 6e-7
 
 
 def superminhash(g: np.ndarray, off: np.ndarray, m: int = SLOTS) -> np.ndarray:
@@ -259,7 +258,7 @@ def _block_edges(percent: int):
 
             for i, (n, c, own) in enumerate(zip(left["n"], left["c"], left["bands"], strict=True)):
                 near = (label != c) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n))
-                near[near] = (bands[near] == np.asarray(own)).sum(axis=1) >= MEET
+                near[near] = (bands[near] == np.asarray(own)).any(axis=1)
                 if not near.any():
                     continue
                 held[flat[start[i] : start[i + 1]]] = True

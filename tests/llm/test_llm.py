@@ -272,3 +272,12 @@ def test_near_dedup_stage_of_null_and_repeated_ids(spark):
     assert sorted(map(str, got)) == sorted(map(str, want))
     out = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs, 80).collect()}
     assert {(None, 3, False), (None, None, True), (7, 3, False), (3, 3, True), (7, 7, True)} <= out
+
+
+def test_blocks_verify_pairs_of_one_band():
+    import pandas as pd
+
+    own = np.arange(1, 20, dtype=np.uint64)
+    block = lambda c, first: pd.DataFrame({"n": [19], "c": [c], "bands": [np.array([first, *range(c * 100, c * 100 + minhash.BANDS - 1)])], "shingles": [own.tobytes()]})
+    edges = minhash._block_edges(85)
+    assert len(edges(None, block(1, 7), block(2, 7))) == 1 and len(edges(None, block(1, 7), block(2, 8))) == 0
