@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.classes import CHINESE, SPACES, ScriptClass
-from ..functions.text import seg_hash
+from ..functions.text import prefix_sums, seg_hash
 
 SPANS = "array<struct<start:int,end:int,src:string,kind:string>>"
 
@@ -28,32 +28,33 @@ LEXERS = {
 
 
 def extract_lines(files: DataFrame, script: ScriptClass = CHINESE, key: str = "file") -> DataFrame:
-    """files(key, text) -> (key, start, end, src, h, kind): runs within lines, all in built-in functions."""
-    run = script.run()
-    lines = files.where(F.col("text").rlike(script.has())).select(key, F.posexplode(F.split("text", "\n")).alias("line", "body"))
-    by_file = W.partitionBy(key).orderBy("line").rowsBetween(W.unboundedPreceding, -1)
-    lines = lines.withColumn("base", F.coalesce(F.sum(F.octet_length("body") + 1).over(by_file), F.lit(0))).where(F.col("body").rlike(script.has()))
+    """files(key, text) -> (key, start, end, src, h, kind): runs within lines; offsets are summed inside the row, without a shuffle."""
+    run, held = script.run(), script.has()
+    lines = files.where(F.col("text").rlike(held)).select(key, F.split("text", "\n").alias("lines"))
+    lines = lines.select(key, "lines", prefix_sums(F.transform("lines", lambda x: F.octet_length(x) + 1)).alias("base"))
+    some = F.filter(F.arrays_zip(F.col("lines").alias("body"), F.col("base").alias("base")), lambda x: x["body"].rlike(held))
+    lines = lines.select(key, F.explode(some).alias("x")).select(key, "x.*")
     kind = F.when(F.col("body").rlike("//|#|--"), "comment").otherwise("string")
-    gaps, runs = F.split("body", run), F.regexp_extract_all("body", F.lit(run), F.lit(0))
-    parts = lines.select(key, "line", "base", kind.alias("kind"), F.posexplode(F.arrays_zip(gaps.alias("gap"), runs.alias("run"))).alias("i", "p"))
-    before = W.partitionBy(key, "line").orderBy("i").rowsBetween(W.unboundedPreceding, -1)
-    width = F.octet_length("p.gap") + F.coalesce(F.octet_length("p.run"), F.lit(0))
-    parts = parts.withColumn("start", F.col("base") + F.coalesce(F.sum(width).over(before), F.lit(0)) + F.octet_length("p.gap")).where("p.run is not null")
+    parts = lines.select(key, "base", kind.alias("kind"), F.split("body", run).alias("gaps"), F.regexp_extract_all("body", F.lit(run), F.lit(0)).alias("runs"))
+    width = F.zip_with("gaps", "runs", lambda gap, r: F.octet_length(gap) + F.coalesce(F.octet_length(r), F.lit(0)))
+    parts = parts.select(key, "base", "kind", F.explode(F.arrays_zip(F.col("gaps").alias("gap"), F.col("runs").alias("run"), prefix_sums(width).alias("at"))).alias("p"))
+    parts = parts.select(key, "kind", (F.col("base") + F.col("p.at") + F.octet_length("p.gap")).alias("start"), F.col("p.run").alias("run")).where("run is not null")
     # a run may begin or end with the ideographic space: trimmed
-    trimmed = F.regexp_replace("p.run", f"^[{SPACES}]+|[{SPACES}]+$", "")
-    lead = F.octet_length("p.run") - F.octet_length(F.regexp_replace("p.run", f"^[{SPACES}]+", ""))
-    out = parts.where(trimmed.rlike(script.has())).select(key, (F.col("start") + lead).cast("int").alias("start"), trimmed.alias("src"), "kind")
+    led = F.regexp_replace("run", f"^[{SPACES}]+", "")
+    parts = parts.select(key, "kind", (F.col("start") + F.octet_length("run") - F.octet_length(led)).cast("int").alias("start"), F.regexp_replace(led, f"[{SPACES}]+$", "").alias("src"))
+    out = parts.where(F.col("src").rlike(held))
     return out.select(key, "start", (F.col("start") + F.octet_length("src")).cast("int").alias("end"), "src", seg_hash(F.col("src")).alias("h"), "kind")
 
 
 def _runs(text: str, ranges, pattern: re.Pattern, core: re.Pattern):
+    at = size = 0  # characters before the last run found, and their bytes
     for a, b, kind in ranges:
         for m in pattern.finditer(text, a, b):
             body = m.group().strip()
             if core.search(body):
                 s = m.start() + m.group().index(body[0])
-                at = len(text[:s].encode())
-                yield {"start": at, "end": at + len(body.encode()), "src": body, "kind": kind}
+                at, size = s, size + len(text[at:s].encode())
+                yield {"start": size, "end": size + len(body.encode()), "src": body, "kind": kind}
 
 
 def _python(script: ScriptClass, spaces: str) -> tuple[re.Pattern, re.Pattern]:

@@ -6,7 +6,7 @@ Chinese characters (``translate``), the same way on both sides.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import text as T
 from ..functions.classes import CHINESE, SPACES
@@ -90,36 +90,60 @@ def residual_counts(spark, d):
 
 
 def text_functions(spark, d):
-    c = F.concat(F.regexp_replace(F.initcap("text"), " ", "API"), F.lit("<x>'q'</x> \\ \"z\""))
+    c = F.concat(F.regexp_replace("text", " ([a-z])", "APIX$1"), F.lit("<x>'q'</x> \\ \"z\""))
     t = _t(spark, d, "conversations").select("conv_id", "turn", c.alias("c"))
     return t.select("conv_id", "turn", T.fix_spacing(F.col("c")).alias("spaced"), T.unprotect(F.col("c")).alias("plain"), T.escape_literal(F.col("c"), F.lit("a.sql")).alias("in_sql"), T.escape_literal(F.col("c"), F.lit("a.go")).alias("in_go"))
 
 
 def blank_literals(spark, d):
-    return _t(spark, d, "pages").select("page_id", T.blank_literals(F.regexp_replace("html", "\n", " ")).alias("skeleton"))
+    lines = _t(spark, d, "pages").select("page_id", F.posexplode(F.split("html", "\n")).alias("line", "body"))
+    return lines.select("page_id", "line", T.blank_literals(F.col("body")).alias("skeleton"))
 
 
-def _markdown(spark, d) -> DataFrame:
-    pages = _t(spark, d, "pages").withColumn("line", F.regexp_extract("html", "<title>([^<]*)</title>", 1))
-    text = F.concat(F.lit("# "), F.col("line"), F.lit("\n[x](#"), F.when(F.col("page_id") % 3 == 0, "none").otherwise(T.heading_slug(F.col("line"))), F.lit(") [y]("), F.col("url"), F.lit(") [z](docs/a.md#b)\n```\n# no\n```\n"))
-    return pages.select(F.concat(F.col("page_id").cast("string"), F.lit(".md")).alias("file"), text.alias("text"))
+def _markdown(spark, d, renamed: bool = False) -> DataFrame:
+    """A page from every document: its lines, bared of marks, are in turn headings, prose with links, and fenced."""
+    bare = F.transform(F.split("text", "\n"), lambda x: F.regexp_replace(x, "[^A-Za-z0-9 -]", ""))
+    docs = _t(spark, d, "documents").select(_page().alias("file"), bare.alias("ls"))
+
+    def line(x, i):
+        title = F.translate(x, "ae", "eo") if renamed else x
+        links = F.concat(F.lit("[a](#"), T.heading_slug(F.get("ls", i - 1)), F.lit(") [b](#"), T.heading_slug(x), F.lit(") [c](../docs/"), (i % 5).cast("string"), F.lit(".md#x) [d](https://e.org) "), x)
+        return F.when(i % 3 == 0, F.concat(F.lit("## "), title)).when(i % 3 == 1, links).otherwise(F.concat(F.lit("```\n## "), x, F.lit("\n[e](gone.md)\n```")))
+
+    return docs.select("file", F.array_join(F.transform("ls", line), "\n").alias("text"))
+
+
+def _page() -> Column:
+    return F.concat(F.lit("src/"), F.col("doc_id").cast("string"), F.lit(".md"))
+
+
+_INVENTORY = "select 'docs/' || id || '.md' as file from range(3)"
 
 
 def anchors_broken(spark, d):
-    return checks.broken_anchors(_markdown(spark, d), masked=False).select("file", F.col("detail").alias("slug"))
+    return checks.broken_anchors(_markdown(spark, d)).select("file", F.col("detail").alias("slug"))
 
 
 def heading_slugs(spark, d):
     return checks.headings(_markdown(spark, d)).select("file", "pos", T.heading_slug(F.col("line")).alias("slug"))
 
 
+def heading_renames(spark, d):
+    return checks.heading_renames(_markdown(spark, d), _markdown(spark, d, renamed=True))
+
+
 def markdown_links(spark, d):
     return _markdown(spark, d).select("file", F.explode(T.links(F.col("text"))).alias("target"))
 
 
 def links_broken(spark, d):
-    inventory = spark.sql("select 'docs/b.md' as file")
-    return checks.broken_links(_markdown(spark, d), inventory).select("file", F.col("detail").alias("target"))
+    return checks.broken_links(_markdown(spark, d), spark.sql(_INVENTORY)).select("file", F.col("detail").alias("target"))
+
+
+def opaque_spans(spark, d):
+    """Every third line end becomes a raw string's mark, every seventh line a comment's."""
+    marked = F.transform(F.split("text", " "), lambda x, i: F.concat(F.regexp_replace(x, "[`/*]", ""), F.when(i % 7 == 0, F.lit("`\n")).when(i % 11 == 0, F.lit("/*\n")).when(i % 11 == 5, F.lit("\n*/")).otherwise(F.lit(" "))))
+    return checks.opaque_spans(_t(spark, d, "conversations").select(F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("file"), F.array_join(marked, "").alias("text")))
 
 
 def splice_plain(spark, d):
@@ -131,9 +155,11 @@ def splice_plain(spark, d):
 
 
 def pair_verdicts(spark, d):
-    turns = _t(spark, d, "conversations").select("conv_id", "turn", F.concat(F.regexp_replace(F.substring_index("text", ".", 1), "\n", " "), F.lit(" = f(\"a\") // c")).alias("line"))
-    old = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("line").alias("old"))
-    return turns.join(old, ["conv_id", "turn"], "left").select("conv_id", "turn", checks.pair_verdict(F.col("old"), F.col("line")).alias("drift")).where("drift is not null")
+    """Every sentence of a turn against the one in its place in the turn before."""
+    turns = _t(spark, d, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", "[.\n]")).alias("i", "s"))
+    turns = turns.select("conv_id", "turn", "i", F.concat("s", F.lit(" = f(\"a\") // c")).alias("line"))
+    old = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), "i", F.col("line").alias("old"))
+    return turns.join(old, ["conv_id", "turn", "i"], "left").select("conv_id", "turn", "i", checks.pair_verdict(F.col("old"), F.col("line")).alias("drift")).where("drift is not null")
 
 
 def _findings(spark, d, sources=None) -> DataFrame:
@@ -146,7 +172,8 @@ def _findings(spark, d, sources=None) -> DataFrame:
 
 
 def baseline_diff(spark, d):
-    return checks.against_baseline(_findings(spark, d, ("src1", "src2", "src3")), _findings(spark, d, ("src3", "src4")))
+    """All findings, against a baseline that holds those of some sources."""
+    return checks.against_baseline(_findings(spark, d), _findings(spark, d, ("src3", "src4")))
 
 
 def top_findings(spark, d):
@@ -154,7 +181,11 @@ def top_findings(spark, d):
 
 
 def gate_verdict(spark, d):
-    return _findings(spark, d, ("src1", "src2")).groupBy("check").agg(F.count("*").alias("n"), (F.count("*") == 0).alias("passed"))
+    """The gate over all documents: how many findings each check has, and whether it passed."""
+    files = _t(spark, d, "documents").select(_page().alias("file"), F.translate("text", VOWELS, MARKS).alias("text"))
+    findings = checks.gate(files, _markdown(spark, d), spark.sql(_INVENTORY), files.select("file", F.col("text").alias("before"), F.col("text").alias("after")))
+    checked = spark.createDataFrame([(c,) for c in ("residual", "broken_link", "broken_anchor", "drift")], "check string")
+    return checked.join(findings.groupBy("check").agg(F.count("*").alias("n")), "check", "left").select("check", F.coalesce("n", F.lit(0)).alias("n"), F.col("n").isNull().alias("passed"))
 
 
 def protect_tokens(spark, d):
@@ -187,7 +218,7 @@ def doc_moves(spark, d):
     return rewrite.plan_moves(_t(spark, d, "documents").select(F.concat(folder, name).alias("file"), (F.col("doc_id") % 2 == 0).alias("has_script")).groupBy("file").agg(F.max("has_script").alias("has_script")))
 
 
-QUERIES = {f.__name__: f for f in (extract_spans, segment_dedup, dedup_ratio, pending_segments, dictionary_chain, memory_upsert, classify_paths, residual_counts, text_functions, blank_literals, anchors_broken, heading_slugs, markdown_links, links_broken, splice_plain, pair_verdicts, baseline_diff, top_findings, gate_verdict, protect_tokens, structured_extract, splice_padded, drift_lines, doc_moves)}
+QUERIES = {f.__name__: f for f in (extract_spans, segment_dedup, dedup_ratio, pending_segments, dictionary_chain, memory_upsert, classify_paths, residual_counts, text_functions, blank_literals, anchors_broken, heading_slugs, markdown_links, links_broken, splice_plain, pair_verdicts, baseline_diff, top_findings, gate_verdict, protect_tokens, structured_extract, splice_padded, drift_lines, doc_moves, heading_renames, opaque_spans)}
 
 
 def _q(s: str) -> str:
@@ -209,7 +240,11 @@ def _slug(c: str) -> str:
     return f"regexp_replace(regexp_replace({kept}, {_q('[' + SPACES + ']')}, '-', 'g'), '^-+|-+$', '', 'g')"
 
 
-_RUN, _HAS = _q(CHINESE.run()), _q(CHINESE.has())
+#: What the SQL holds a run to be, written apart from the engine's classes.
+_SPACE = r"\s\x{1c}\x{1d}\x{1e}\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_EDGE = r"[\x{4e00}-\x{9fff}\x{3000}-\x{303f}\x{ff00}-\x{ffef}]"
+_RUN = _q(rf"{_EDGE}(?:[\x{{4e00}}-\x{{9fff}}\x{{3000}}-\x{{303f}}\x{{ff00}}-\x{{ffef}}{_SPACE},.:;()'\"\-]*{_EDGE})?")
+_HAS = _q(r"[\x{4e00}-\x{9fff}]")
 _INJECT = f"translate(text, '{VOWELS}', '{MARKS}')"
 _LINES_SQL = f"""l AS (SELECT doc_id, lang, source, line, src, {_hash('src')} AS h FROM (
   SELECT doc_id, lang, source, unnest(range(len(a))) AS line, unnest(a) AS src FROM (SELECT *, string_split(text, chr(10)) AS a FROM documents)) WHERE trim(src) <> '')"""
@@ -221,7 +256,13 @@ _SPANS_SQL = f"""d AS (SELECT doc_id AS file, {_INJECT} AS text, string_split({_
  p AS (SELECT file, line, base, kind, unnest(range(len(runs))) AS i, unnest(gaps[1:len(runs)]) AS gap, unnest(runs) AS run FROM g),
  o AS (SELECT *, base + coalesce(sum(strlen(gap) + strlen(run)) OVER (PARTITION BY file, line ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + strlen(gap) AS s FROM p),
  sp AS (SELECT file, CAST(s AS INTEGER) AS s, CAST(s + strlen(run) AS INTEGER) AS e, {_hash('run')} AS h, kind, run AS src FROM o WHERE regexp_matches(run, {_HAS}))"""
-_MD_SQL = f"m AS (SELECT page_id, concat(page_id, '.md') AS file, line, url, {_slug('line')} AS slug FROM (SELECT *, regexp_extract(html, '<title>([^<]*)</title>', 1) AS line FROM pages))"
+#: Lines of the pages that _markdown makes: number, bare text, slug and the slug of the line before.
+_MD_SQL = f"""b AS (SELECT concat('src/', doc_id, '.md') AS file, list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '[^A-Za-z0-9 -]', '', 'g')) AS ls FROM documents),
+ l AS (SELECT file, unnest(range(len(ls))) AS i, unnest(ls) AS x FROM b),
+ m AS (SELECT file, i, x, {_slug('x')} AS slug, lag({_slug('x')}) OVER (PARTITION BY file ORDER BY i) AS prev FROM l),
+ anchors AS (SELECT file, prev AS slug FROM m WHERE i % 3 = 1 AND prev <> '' UNION ALL SELECT file, slug FROM m WHERE i % 3 = 1 AND slug <> ''),
+ broken_anchors AS (SELECT file, slug FROM anchors a WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.file = a.file AND m.slug = a.slug AND i % 3 = 0)),
+ targets AS (SELECT file, i, concat('../docs/', i % 5, '.md#x') AS target FROM m WHERE i % 3 = 1)"""
 _FINDINGS_SQL = f"""f AS (SELECT 'residual' AS "check", CAST(doc_id AS VARCHAR) AS file, CAST(NULL AS VARCHAR) AS detail, CAST(len({_INJECT}) - len(regexp_replace({_INJECT}, {_HAS}, '', 'g')) AS BIGINT) AS n, source FROM documents
   UNION ALL SELECT 'lang', CAST(doc_id AS VARCHAR), lang, NULL, source FROM documents)"""
 _WORDS = "unnest(string_split_regex(text, '[\\s.,]+'))"
@@ -234,8 +275,11 @@ def _blank(c: str) -> str:
     return c
 
 
-_TRANSLATABLE = f"""CASE WHEN NOT list_contains([{', '.join(map(_q, classify.LANGUAGES))}], suffix) THEN false WHEN regexp_full_match(probe, {_q(classify.glob_pattern(classify.EXCLUDED))}) THEN false
-  WHEN regexp_full_match(probe, {_q(classify.glob_pattern(classify.WRITTEN_BY_HAND))}) THEN true WHEN regexp_full_match(probe, {_q(classify.glob_pattern(classify.GENERATED))}) THEN false ELSE true END"""
+#: The rules for the paths that _PATHS makes, written out.
+_TRANSLATABLE = """suffix IN ('go', 'md', 'vue', 'sql', 'ts', 'less') AND NOT contains(probe, '/i18n/') AND NOT contains(probe, '/[locale]/') AND NOT contains(probe, '.zh.')
+  AND (contains(probe, '/ent/schema/') OR NOT (contains(probe, '/gen/') OR contains(probe, '/ent/') OR contains(probe, '.pb.go') OR contains(probe, '_pb2.py')))"""
+_LANGUAGE = "CASE suffix WHEN 'go' THEN 'go' WHEN 'md' THEN 'markdown' WHEN 'vue' THEN 'vue' WHEN 'sql' THEN 'sql' WHEN 'ts' THEN 'typescript' WHEN 'less' THEN 'css' END"
+
 
 ORACLE_SQL = {
     "extract_spans": f"WITH {_SPANS_SQL} SELECT file, s, e, h, kind FROM sp",
@@ -251,24 +295,46 @@ ORACLE_SQL = {
  o AS (SELECT h, arg_max({{'src': src, 'en': en}}, seq) AS r, 'old' AS engine FROM a WHERE source < 'src15' AND h NOT IN (SELECT h FROM n) GROUP BY h)
  SELECT h, r.src AS src, r.en AS en, engine FROM (FROM n UNION ALL FROM o)""",
     "classify_paths": f"""WITH p AS (SELECT doc_id, {_PATHS} AS path FROM documents), q AS (SELECT *, '/' || path AS probe, regexp_extract('/' || path, '[^/]\\.([^./]+)$', 1) AS suffix FROM p)
- SELECT doc_id, path, {_TRANSLATABLE} AS translatable, CASE suffix {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in classify.LANGUAGES.items())} END AS language FROM q""",
+ SELECT doc_id, path, {_TRANSLATABLE} AS translatable, {_LANGUAGE} AS language FROM q""",
     "residual_counts": f"SELECT * FROM (SELECT doc_id AS file, CAST(len({_INJECT}) - len(regexp_replace({_INJECT}, {_HAS}, '', 'g')) AS BIGINT) AS n FROM documents) WHERE n > 0",
-    "blank_literals": f"SELECT page_id, {_blank('replace(html, chr(10), chr(32))')} AS skeleton FROM pages",
-    "anchors_broken": f"WITH {_MD_SQL} SELECT file, 'none' AS slug FROM m WHERE page_id % 3 = 0 AND slug <> 'none'",
-    "heading_slugs": f"WITH {_MD_SQL} SELECT file, CAST(0 AS INTEGER) AS pos, slug FROM m",
-    "markdown_links": f"WITH {_MD_SQL} SELECT file, 'docs/a.md#b' AS target FROM m",
-    "links_broken": f"WITH {_MD_SQL} SELECT file, 'docs/a.md#b' AS target FROM m",
+    "blank_literals": f"SELECT page_id, CAST(line AS INTEGER) AS line, {_blank('body')} AS skeleton FROM (SELECT page_id, unnest(range(len(a))) AS line, unnest(a) AS body FROM (SELECT page_id, string_split(html, chr(10)) AS a FROM pages))",
+    "anchors_broken": f"WITH {_MD_SQL} SELECT file, slug FROM broken_anchors",
+    "heading_slugs": f"WITH {_MD_SQL} SELECT file, CAST(2 * i AS INTEGER) AS pos, slug FROM m WHERE i % 3 = 0",
+    "heading_renames": f"""WITH {_MD_SQL}, h AS (SELECT file, i, slug AS old, {_slug("translate(x, 'ae', 'eo')")} AS new FROM m WHERE i % 3 = 0)
+ SELECT file, old, arg_max(new, i) AS new FROM h WHERE old <> new AND old <> '' AND new <> '' GROUP BY file, old""",
+    "markdown_links": f"WITH {_MD_SQL} SELECT file, target FROM targets UNION ALL SELECT file, 'gone.md' FROM m WHERE i % 3 = 2",
+    "links_broken": f"WITH {_MD_SQL} SELECT file, target FROM targets WHERE i % 5 > 2",
+    "opaque_spans": """WITH w AS (SELECT concat_ws('/', conv_id, turn) AS file, list_transform(string_split(text, ' '), lambda x, i: concat(regexp_replace(x, '[`/*]', '', 'g'),
+   CASE WHEN (i - 1) % 7 = 0 THEN '`' || chr(10) WHEN (i - 1) % 11 = 0 THEN '/*' || chr(10) WHEN (i - 1) % 11 = 5 THEN chr(10) || '*/' ELSE ' ' END)) AS ws FROM conversations),
+ t AS (SELECT file, array_to_string(ws, '') AS text FROM w), k AS (SELECT unnest([0, 1]) AS kind),
+ p AS (SELECT file, kind, CASE kind WHEN 0 THEN string_split_regex(text, '`[^`]*`') ELSE string_split_regex(text, '/\\*(?s:.*?)\\*/') END AS gaps,
+       CASE kind WHEN 0 THEN regexp_extract_all(text, '`[^`]*`') ELSE regexp_extract_all(text, '/\\*(?s:.*?)\\*/') END AS hits FROM t, k),
+ u AS (SELECT file, kind, unnest(range(len(hits))) AS seq, unnest(gaps[1:len(hits)]) AS gap, unnest(hits) AS hit FROM p),
+ c AS (SELECT file, kind, seq, len(gap) - len(replace(gap, chr(10), '')) AS g, len(hit) - len(replace(hit, chr(10), '')) AS h FROM u),
+ s AS (SELECT file, kind, seq, 1 + g + coalesce(sum(g + h) OVER (PARTITION BY file, kind ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first, h FROM c)
+ SELECT file, CAST(kind AS INTEGER) AS kind, CAST(seq AS INTEGER) AS seq, CAST(first AS INTEGER) AS first, CAST(first + h AS INTEGER) AS last FROM s WHERE h > 0""",
+    "text_functions": """WITH t AS (SELECT conv_id, turn, concat(regexp_replace(text, ' ([a-z])', 'APIX\\1', 'g'), '<x>''q''</x> \\ "z"') AS c FROM conversations)
+ SELECT conv_id, turn, regexp_replace(c, '(HTTPS|HTTP|JSON|UUID|JWT|URI|URL|API|SQL|XML|TTL|ID|IP)([A-Z][a-z])', '\\1 \\2', 'g') AS spaced, replace(replace(c, '<x>', ''), '</x>', '') AS plain,
+  replace(c, chr(39), chr(39) || chr(39)) AS in_sql, replace(replace(c, '\\', '\\\\'), '"', '\\"') AS in_go FROM t""",
+    "doc_moves": """WITH f AS (SELECT concat(CASE WHEN doc_id % 3 = 0 THEN 'docs/' ELSE concat(source, '/') END, ['README.md', 'README_en.md', 'README.zh-CN.md', 'README.ja.md', 'guide.md'][doc_id % 5 + 1]) AS file, bool_or(doc_id % 2 = 0) AS s FROM documents GROUP BY 1),
+ p AS (SELECT regexp_replace(file, '[^/]*$', '') AS dir, regexp_extract(file, '[^/]*$') AS name, s FROM f),
+ d AS (SELECT dir, bool_or(name = 'README.md' AND s) AS chinese, bool_or(name = 'README.zh-CN.md') AS zh, bool_or(name = 'README_en.md') AS en, bool_or(name = 'README.ja.md') AS ja FROM p GROUP BY dir)
+ SELECT concat(dir, 'README.md') AS src, concat(dir, 'README.zh-CN.md') AS dst FROM d WHERE chinese AND NOT zh
+ UNION ALL SELECT concat(dir, 'README_en.md'), concat(dir, 'README.md') FROM d WHERE en UNION ALL SELECT concat(dir, 'README.ja.md'), concat(dir, 'README.ja-JP.md') FROM d WHERE ja
+ UNION ALL SELECT concat(dir, name), concat('docs/zh-CN/', name) FROM p WHERE dir = 'docs/' AND s""",
     "splice_plain": f"""WITH {_SPANS_SQL}, k AS (SELECT file, s, e, CASE WHEN substr(h, 1, 1) < '8' THEN concat('<', substr(h, 1, 6), '>') END AS en FROM sp),
  x AS (SELECT file, s, e, en, coalesce(lag(e) OVER w, 0) AS prev FROM k WHERE en IS NOT NULL WINDOW w AS (PARTITION BY file ORDER BY s)),
  r AS (SELECT file, string_agg(concat(decode(encode(text)[prev + 1 : s]), en), '' ORDER BY s) AS t, max(e) AS last, count(*) AS n, any_value(text) AS text FROM x JOIN d USING (file) GROUP BY file),
  z AS (SELECT file, concat(t, decode(encode(text)[last + 1 : strlen(text)])) AS t, n FROM r)
  SELECT file, md5(t) AS digest, CAST(len(t) AS INTEGER) AS chars, CAST(n AS INTEGER) AS n FROM z""",
-    "pair_verdicts": f"""WITH t AS (SELECT conv_id, turn, concat(replace(split_part(text, '.', 1), chr(10), ' '), ' = f("a") // c') AS line FROM conversations),
- p AS (SELECT t.conv_id, t.turn, t.line, trim(t.line) AS b, trim(o.line) AS a FROM t LEFT JOIN t o ON o.conv_id = t.conv_id AND o.turn + 1 = t.turn)
- SELECT conv_id, turn, line AS drift FROM p WHERE NOT coalesce(regexp_matches(a, {_q(T.COMMENT_LINE)}), false) AND NOT regexp_matches(b, {_q(T.COMMENT_LINE)}) AND NOT regexp_matches(b, {_HAS})
- AND NOT coalesce({_blank('a')} = {_blank('b')}, false) AND regexp_matches({_blank('b')}, {_q(T.CODE_LINE)})""",
-    "baseline_diff": f"""WITH {_FINDINGS_SQL} SELECT "check", file, detail, n FROM f WHERE source IN ('src1', 'src2', 'src3')
- AND NOT EXISTS (SELECT 1 FROM f b WHERE b.source IN ('src3', 'src4') AND b."check" = f."check" AND b.file = f.file AND b.detail IS NOT DISTINCT FROM f.detail AND b.n IS NOT DISTINCT FROM f.n)""",
+    "pair_verdicts": f"""WITH t AS (SELECT conv_id, turn, CAST(i AS INTEGER) AS i, concat(s, ' = f("a") // c') AS line FROM (SELECT conv_id, turn, unnest(range(len(a))) AS i, unnest(a) AS s FROM (SELECT conv_id, turn, string_split_regex(text, '[.\\n]') AS a FROM conversations))),
+ p AS (SELECT t.conv_id, t.turn, t.i, t.line, trim(t.line) AS b, trim(o.line) AS a FROM t LEFT JOIN t o ON o.conv_id = t.conv_id AND o.turn + 1 = t.turn AND o.i = t.i)
+ SELECT conv_id, turn, i, line AS drift FROM p WHERE NOT coalesce(regexp_matches(a, '^(//|[*]|/[*]|#)'), false) AND NOT regexp_matches(b, '^(//|[*]|/[*]|#)') AND NOT regexp_matches(b, {_HAS})
+ AND NOT coalesce({_blank('a')} = {_blank('b')}, false) AND regexp_matches({_blank('b')}, '[A-Za-z_][A-Za-z0-9_]*[ \\t]*[:=(]')""",
+    "baseline_diff": f"""WITH {_FINDINGS_SQL} SELECT "check", file, detail, n FROM f
+ WHERE NOT EXISTS (SELECT 1 FROM f b WHERE b.source IN ('src3', 'src4') AND b."check" = f."check" AND b.file = f.file AND b.detail IS NOT DISTINCT FROM f.detail AND b.n IS NOT DISTINCT FROM f.n)""",
     "top_findings": f"WITH {_FINDINGS_SQL} SELECT \"check\", file, detail, n, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY \"check\" ORDER BY n DESC NULLS LAST, file, detail) AS r FROM f) WHERE r <= 20",
-    "gate_verdict": f"WITH {_FINDINGS_SQL} SELECT \"check\", count(*) AS n, count(*) = 0 AS passed FROM f WHERE source IN ('src1', 'src2') GROUP BY \"check\"",
+    "gate_verdict": f"""WITH {_MD_SQL}, n AS (SELECT 'residual' AS "check", count(*) AS n FROM documents WHERE regexp_matches(text, '[aeiou]')
+  UNION ALL SELECT 'broken_link', count(*) FROM targets WHERE i % 5 > 2 UNION ALL SELECT 'broken_anchor', count(*) FROM broken_anchors UNION ALL SELECT 'drift', 0)
+ SELECT "check", n, n = 0 AS passed FROM n""",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import has_script, norm
 from ..operators.classify import is_translatable, language
@@ -12,17 +12,24 @@ MEMORY = "h string, src string, en string, engine string"
 FINDINGS = "check string, file string, detail string, n bigint"
 
 
-def scan_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """files(file, content): every file below root, path relative to it."""
+def _tree(spark: SparkSession, root: str, glob: str | None, wanted) -> DataFrame:
+    """(file, content): files whose path below root is ``wanted``; paths are judged while listing, so no other file is read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     reader = reader.option("pathGlobFilter", glob) if glob else reader
-    base = F.regexp_replace(F.col("path"), "^.*?" + root.rstrip("/").replace(".", r"\.") + "/", "")
-    return reader.load(root).select(base.alias("file"), "content")
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    file = F.regexp_replace(path, rf"^.*?\Q{root.rstrip('/')}\E/", "")
+    files = reader.load(root)
+    return (files if wanted is None else files.where(wanted(file))).select(file.alias("file"), "content")
+
+
+def scan_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """files(file, content): every file below root, path relative to it."""
+    return _tree(spark, root, glob, None)
 
 
 def scan_translatable(spark: SparkSession, root: str) -> DataFrame:
     """files(file, content, text, lang): translatable paths with valid UTF-8 that hold the script."""
-    files = scan_files(spark, root).where(is_translatable(F.col("file")))
+    files = _tree(spark, root, None, is_translatable)
     files = files.withColumn("text", F.try_validate_utf8(F.col("content").cast("string"))).where(F.col("text").isNotNull())
     return files.where(has_script(F.col("text"))).withColumn("lang", language(F.col("file")))
 
@@ -32,8 +39,14 @@ def _visible(file: Column) -> Column:
 
 
 def scan_markdown(spark: SparkSession, root: str) -> DataFrame:
-    files = scan_files(spark, root, "*.md").where(_visible(F.col("file")))
-    return files.select("file", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
+    """(file, text) of every markdown file outside version control and installed packages."""
+    return _tree(spark, root, "*.md", _visible).select("file", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, at): lines with a key that orders them by file, then by place in it, however a file is split."""
+    at = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    return spark.read.text(path).select("value", at.alias("at"))
 
 
 def readme_folders(files: DataFrame) -> DataFrame:
@@ -47,13 +60,13 @@ def read_occurrences(spark: SparkSession, path: str) -> DataFrame:
 
 def read_memory(spark: SparkSession, path: str) -> DataFrame:
     """The last record of a key wins; order is file position."""
-    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id()).where(F.trim("value") != "")
+    lines = _lines(spark, path).where(F.trim("value") != "")
     rows = lines.select(F.from_json("value", MEMORY).alias("r"), "at").select("r.*", "at")
     return rows.groupBy("h").agg(F.max_by(F.struct("src", "en", "engine"), "at").alias("r")).select("h", "r.*")
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    return parse_dictionary(spark.read.text(path).withColumn("at", F.monotonically_increasing_id()))
+    return parse_dictionary(_lines(spark, path))
 
 
 def parse_dictionary(lines: DataFrame) -> DataFrame:
@@ -81,8 +94,4 @@ def write_records(df: DataFrame, path: str) -> None:
 
 def write_memory(memory: DataFrame, path: str) -> None:
     """Range-partitioned and sorted by key: part files in order are the sorted file."""
-    memory.repartitionByRange("h").sortWithinPartitions("h").write.mode("overwrite").json(path)
-
-
-def first_per_key(df: DataFrame, key: str, *order) -> DataFrame:
-    return df.withColumn("__r", F.row_number().over(W.partitionBy(key).orderBy(*order))).where("__r = 1").drop("__r")
+    memory.select("h", "src", "en", "engine").repartitionByRange("h").sortWithinPartitions("h").write.mode("overwrite").json(path)
