@@ -38,12 +38,14 @@ def extract_lines(files: DataFrame, script: ScriptClass = CHINESE, key: str = "f
     parts = lines.select(key, "base", kind.alias("kind"), F.split("body", run).alias("gaps"), F.regexp_extract_all("body", F.lit(run), F.lit(0)).alias("runs"))
     width = F.zip_with("gaps", "runs", lambda gap, r: F.octet_length(gap) + F.coalesce(F.octet_length(r), F.lit(0)))
     parts = parts.select(key, "base", "kind", F.explode(F.arrays_zip(F.col("gaps").alias("gap"), F.col("runs").alias("run"), prefix_sums(width).alias("at"))).alias("p"))
-    parts = parts.select(key, "kind", (F.col("base") + F.col("p.at") + F.octet_length("p.gap")).alias("start"), F.col("p.run").alias("run")).where("run is not null")
-    # a run may begin or end with the ideographic space: trimmed
+    parts = parts.select(key, "kind", (F.col("base") + F.col("p.at") + F.octet_length("p.gap")).cast("int").alias("start"), F.col("p.run").alias("run")).where("run is not null")
+    # of all white space only the ideographic space can begin or end a run
+    loose = F.col("run").startswith("\u3000") | F.col("run").endswith("\u3000")
     led = F.regexp_replace("run", f"^[{SPACES}]+", "")
-    parts = parts.select(key, "kind", (F.col("start") + F.octet_length("run") - F.octet_length(led)).cast("int").alias("start"), F.regexp_replace(led, f"[{SPACES}]+$", "").alias("src"))
-    out = parts.where(F.col("src").rlike(held))
-    return out.select(key, "start", (F.col("start") + F.octet_length("src")).cast("int").alias("end"), "src", seg_hash(F.col("src")).alias("h"), "kind")
+    lead = F.when(loose, F.octet_length("run") - F.octet_length(led)).otherwise(0)
+    src = F.when(loose, F.regexp_replace(led, f"[{SPACES}]+$", "")).otherwise(F.col("run"))
+    out = parts.select(key, "kind", (F.col("start") + lead).alias("start"), src.alias("src")).where(F.col("src").rlike(held))
+    return out.select(key, "start", (F.col("start") + F.octet_length("src")).alias("end"), "src", seg_hash(F.col("src")).alias("h"), "kind")
 
 
 def _runs(text: str, ranges, pattern: re.Pattern, core: re.Pattern):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..durable import kept
 from ..functions import text as T
 from ..functions.classes import CHINESE, SPACES
 from ..operators import checks, classify, extract, memory, rewrite
@@ -148,7 +149,7 @@ def opaque_spans(spark, d):
 
 def splice_plain(spark, d):
     files = _docs(spark, d, True)
-    spans = extract.extract_lines(files)
+    spans = kept(extract.extract_lines(files))
     known = memory.distinct_segments(spans).where("substr(h, 1, 1) < '8'").select("h", F.concat(F.lit("<"), F.substring("h", 1, 6), F.lit(">")).alias("en"))
     out = rewrite.splice_plain(files, spans, known)
     return out.select("file", F.md5(F.col("text").cast("binary")).alias("digest"), F.length("text").alias("chars"), "n")
