@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..durable import ensure_checkpoints, kept
+
+__all__ = ["ensure_checkpoints", "kept"]
+
 #: Words are runs of anything but ASCII white space.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 #: Rows an Arrow batch may hold; bounds a Python worker's memory with long texts.
 BATCH_ROWS = "512"
 
 
-def ensure_checkpoints(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; fall back to a temporary folder only where it is unset."""
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="polyseg-ckpt-")
-        context.setCheckpointDir(folder)
-
-
 def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of few rows, for the session: Spark reads the setting when a lazy result runs, so it can't be put back here."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
@@ -45,3 +40,15 @@ def hash_bits(rows: int, per_bucket: int = 50_000) -> int:
 def hash_bucket(h, bits: int):
     """Order-preserving bucket of a signed 64-bit hash."""
     return F.shiftright(h, 64 - bits)
+
+
+def packed(df: DataFrame, *own: str) -> DataFrame:
+    """df with all columns but ``own`` in one struct ``__rest``: whatever their names, none can clash with an operator's."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in own]
+    return df.select(*own, (F.struct(*rest) if rest else F.lit(None).cast("struct<none:int>")).alias("__rest"))
+
+
+def unpacked(df: DataFrame, columns: list[str], own: tuple[str, ...], new: tuple[str, ...] = ()) -> DataFrame:
+    """The columns as they were, in their order; those of ``new`` names give way to the operator's."""
+    keep = [F.col(c) if c in own else F.col("__rest").getField(c).alias(c) for c in columns if c not in new]
+    return df.select(*keep, *new)

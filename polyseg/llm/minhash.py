@@ -349,14 +349,15 @@ def without_near_duplicates(df: DataFrame, percent: int = PERCENT, id_col: str =
     ensure_checkpoints(spark)
     small_batches(spark)
     blank = F.coalesce(F.col(text_col), F.lit("")).rlike(r"\A[\x20\x09-\x0D]*\z")
-    worded = df.where(~blank)
-    docs = worded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(*df.columns).alias("row"))
-    keyed = docs.mapInArrow(_class_rows("doc_id", "row"), "doc_id long, row long, n_shingles long, v long").checkpoint()
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
+    worded, row = df.where(~blank), [F.xxhash64(F.lit(k), *(F.col(f"`{c}`") for c in df.columns)) for k in (1, 2)]
+    docs = worded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row[0].alias("row"), row[1].alias("row2"))
+    keyed = docs.mapInArrow(_class_rows("doc_id", "row", "row2"), "doc_id long, row long, row2 long, n_shingles long, v long").checkpoint()
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "row2")).alias("best")
     label = keyed.groupBy("v").agg(best).join(class_components(docs, percent), "v", "left")
-    best = label.groupBy(F.coalesce("c", "v").alias("c")).agg(F.min("best").alias("best")).select(F.col("best.row").alias("__row"))
-    rows = worded.withColumn("__row", F.xxhash64(*df.columns)).join(best.distinct(), "__row", "left_semi").dropDuplicates(["__row"])
-    return rows.drop("__row").unionByName(df.where(blank))
+    best = label.groupBy(F.coalesce("c", "v").alias("c")).agg(F.min("best").alias("best")).select(F.col("best.row").alias("r1"), F.col("best.row2").alias("r2"))
+    # rows equal in all columns are one: the columns in a struct, so that none can clash with the keys
+    rows = worded.select(row[0].alias("r1"), row[1].alias("r2"), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("whole"))
+    return rows.join(best.distinct(), ["r1", "r2"], "left_semi").dropDuplicates(["r1", "r2"]).select("whole.*").unionByName(df.where(blank))
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

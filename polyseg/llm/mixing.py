@@ -20,14 +20,15 @@ sources).  The sources table has a row per source, and only it is ordered as a w
 Defined cases: null text has size 0; documents of size 0 are taken 0 or 1 times with no effect
 on words (they get rate 1 where their source has a positive target, else 0); null ids and
 repeated rows are ordinary rows; an empty table gives no rows; a source without words has
-target 0.  Extra columns are kept unless their names clash with those returned.
+target 0.  Extra columns are kept, whatever their names; those named like a returned column give
+way to it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import WORD_RE, ensure_checkpoints, hash_bits, hash_bucket, table
+from .common import WORD_RE, ensure_checkpoints, hash_bits, hash_bucket, packed, table, unpacked
 
 MAX_COPIES = 3
 SPLIT = 50_000
@@ -126,9 +127,10 @@ def mix_sources(df: DataFrame, seed: int = 7, id_col: str = "doc_id", text_col:
     """Add size, source_size, target, copies and taken to every row of ``df``."""
     spark = df.sparkSession
     ensure_checkpoints(spark)
-    drop = [c for c in ("size", "source_size", "target", "copies", "taken") if c in df.columns and c not in (id_col, text_col, source_col)]
+    own, columns = (id_col, text_col, source_col), df.columns
+    df = packed(df, *own)
     count = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_RE)), F.lit(0)).cast("long")
-    sized = df.drop(*drop).withColumns({"size": count, "__src": F.col(source_col)})
+    sized = df.withColumns({"size": count, "__src": F.col(source_col)})
     cells = sized.groupBy(F.col("__src").alias("src"), "size").agg(F.count("*").alias("n")).checkpoint()
     targets = source_targets(cells.groupBy("src").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")))
     plan = cell_copies(cells, solve_dual(cells, targets)).checkpoint()
@@ -151,7 +153,7 @@ def mix_sources(df: DataFrame, seed: int = 7, id_col: str = "doc_id", text_col:
         same = F.col("__src").eqNullSafe(F.col("__s2")) & (F.col("size") == F.col("__z2")) & (F.col("__b") == F.col("__b2")) & (F.col("__n") > SPLIT)
         ranked = ranked.join(offsets, same, "left").withColumn("__i", F.col("__i") + F.coalesce("__off", F.lit(0))).drop("__s2", "__z2", "__b2", "__off")
     copies = F.expr("__k div __n + if(__i <= __k % __n, 1, 0)").cast("int")
-    return ranked.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).drop("__src", "__h", "__b", "__s", "__z", "__n", "__k", "__i")
+    return unpacked(ranked.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")), columns, own, ("size", "source_size", "target", "copies", "taken"))
 
 
 def expand_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:

@@ -11,15 +11,15 @@ only.  A source with a third of all rows is therefore split over many tasks.
 
 Defined cases: null text has no bytes (size 16, checksum of the empty string); null sources
 form a stratum of their own; null ids and repeated rows are ordinary rows (rows equal in id
-and text are interchangeable); an empty table gives no rows; other columns are kept unless
-their names clash with those returned, which replace them.
+and text are interchangeable); an empty table gives no rows; other columns are kept,
+whatever their names; those named like a returned column give way to it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import hash_bits, hash_bucket, table
+from .common import hash_bits, hash_bucket, packed, table, unpacked
 
 N_SHARDS = 40
 
@@ -30,8 +30,8 @@ def interleave_shards(df: DataFrame, n_shards: int = N_SHARDS, seed: int = 11, i
     bits = hash_bits(rows)
     ranges = 1 << bits
     text = F.coalesce(F.col(text_col), F.lit(""))
-    drop = [c for c in ("size", "text_crc32", "law", "shard", "slot", "grown_shard") if c in df.columns and c not in (id_col, text_col, source_col)]
-    base = df.drop(*drop).withColumns(
+    own, columns = (id_col, text_col, source_col), df.columns
+    base = packed(df, *own).withColumns(
         {
             "size": (F.octet_length(text) + 16).cast("long"),
             "text_crc32": F.crc32(text.cast("binary")),
@@ -59,7 +59,7 @@ def interleave_shards(df: DataFrame, n_shards: int = N_SHARDS, seed: int = 11, i
     totals = ranked.groupBy("__r").agg(F.count("*").alias("__c"))
     starts = totals.select(F.col("__r").alias("__r1"), F.coalesce(F.sum("__c").over(W.orderBy("__r").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__start"))
     place = W.partitionBy("__r").orderBy("__f", F.col("__src").asc_nulls_last(), "__h", id_col, "text_crc32")
-    return (
+    placed = (
         ranked.withColumn("__p", F.row_number().over(place))
         .join(starts, F.col("__r") == F.col("__r1"))
         .withColumn("__p", (F.col("__p") + F.col("__start") - 1).cast("long"))
@@ -68,8 +68,8 @@ def interleave_shards(df: DataFrame, n_shards: int = N_SHARDS, seed: int = 11, i
         # first position of a shard: the ceiling of shard * rows / shards
         .withColumn("slot", F.col("__p") - F.expr(f"(shard * {max(rows, 1)}L + {n_shards - 1}L) div {n_shards}L"))
         .withColumn("grown_shard", F.lit(None).cast("int"))
-        .drop("__src", "__h", "__b", "__s1", "__b1", "__off", "__n", "__i", "__f", "__r", "__r1", "__start", "__p")
     )
+    return unpacked(placed, columns, own, ("size", "text_crc32", "law", "shard", "slot", "grown_shard"))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

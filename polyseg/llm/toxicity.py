@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import small_batches, table
+from .common import kept, small_batches, table
 from .textbatch import NON_LETTERS, U, distinct, pieces, word_hashes, words
 
 SAMPLE = 10_000
@@ -127,6 +127,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, featu
     known = labels.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.max("grade").cast("int").alias("grade"))
     known = known.orderBy(order, "doc_id").limit(sample)  # bounded by the parameter, so it may be broadcast
     held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").mapInArrow(_distinct_features, "doc_id long, grade int, n long, ws array<long>")
+    held = kept(held)  # bounded by the sample; read three times below
     size = held.groupBy().agg(F.count("*"), F.count_if(F.col("grade") > 0)).first()
     n, n1 = size
     if not n1 or n1 == n:
