@@ -4,27 +4,29 @@ Suffixes are sampled by content: in every 100-byte string the 40-byte gram of sm
 an anchor, so equal strings hold the same anchor at the same place, and only suffixes at anchors
 (about one byte in thirty) are bucketed and sorted.
 
-1. Each batch finds its anchors and a fingerprint of their context (60 bytes before, 100 after:
-   all 100-byte strings that hold the anchor gram).  Equal contexts within the batch are
-   resolved at once (all but the earliest are repeats), so a passage in a third of all
-   documents sends one row per batch, not one per document.
+1. Each task finds its anchors and a digest of their context (60 bytes before, 100 after: all
+   100-byte strings that hold the anchor gram).  Equal contexts within the task are resolved at
+   once (all but the earliest are repeats), so a passage in a third of all documents sends one
+   row per task, not one per document.
 2. Anchors meet by gram hash.  Equal contexts are resolved again; grams with one context end
    here, the others send one representative per distinct context.
-3. Representatives fetch their context bytes and are suffix-sorted by bucket: multikey quicksort
-   on 8-byte words to a shallow depth, then blind tries (bytes are looked at only at branching
-   depths, one verification per insertion) order the remaining groups with long common
-   prefixes.  The same is done with the reversed bytes before the anchor.  From both sorted
-   orders and their LCPs, two strings at the same offset are equal exactly if they share a node
-   at the right depth on either side; all but the earliest are repeats.
+3. Representatives fetch their context bytes and are suffix-sorted by bucket: three-way multikey
+   quicksort (a pivot per group, on 8-byte words) to a shallow depth, then blind tries (bytes are
+   looked at only at branching depths, one verification per insertion) order the remaining
+   groups with long common prefixes.  The same is done with the reversed bytes before the anchor.
+   From both sorted orders and their LCPs, two strings at the same offset are equal exactly if
+   they share a node at the right depth on either side; all but the earliest are repeats.
 4. Repeated ranges are merged per document and removed.
 
 Documents are ordered by id, then checksum of the text; rows equal in id and text are one
 document (each gets the same result, and neither repeats the other).
 
+Equal contexts are told by a keyed 128-bit BLAKE2b digest of their bytes, which stands for the
+comparison: all copies of a text can't be sent to one place to be read side by side.
+
 Defined cases: null and empty texts have no bytes (digest of the empty string); texts under 100
 bytes lose nothing; null ids come before all others; an empty table gives no rows; extra
-columns are ignored.  Gram and context fingerprints have 64 bits each, so a false equality
-needs both to collide.
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -46,7 +48,8 @@ TASK_BYTES = 16_000_000
 
 with np.errstate(over="ignore"):
     _VALUE = mix64((np.arange(256).astype(U) + U(77)) * U(BASE))
-ANCHOR = np.dtype([("h", "<u8"), ("ctx", "<u8"), ("doc", "<i8"), ("rk", "<u4"), ("pos", "<u4"), ("left", "u1"), ("right", "u1")])
+HELD = 1_000_000  # anchors a task holds before it sends them on
+ANCHOR = np.dtype([("h", "<u8"), ("ctx", "<u8"), ("ctx2", "<u8"), ("doc", "<i8"), ("rk", "<u4"), ("pos", "<u4"), ("left", "u1"), ("right", "u1")])
 RANGE = np.dtype([("doc", "<i8"), ("rk", "<u4"), ("start", "<u4"), ("end", "<u4")])
 
 
@@ -78,11 +81,11 @@ def _slide(x: np.ndarray, width: int, least) -> np.ndarray:
 
 
 def find_anchors(data: np.ndarray, off: np.ndarray):
-    """(position, bytes before, bytes after, gram hash, context hash) of every anchor of the rows of ``data``."""
+    """(position, bytes before, bytes after, gram hash, context digests) of every anchor of the rows of ``data``."""
     n = len(data)
     none = np.zeros(0, np.int64)
     if n < LENGTH:
-        return none, none, none, none.astype(U), none.astype(U)
+        return none, none, none, none.astype(U), np.zeros((0, 2), U)
     with np.errstate(over="ignore"):
         up, down = _powers(n + 1)
         c = np.zeros(n + 1, U)
@@ -100,9 +103,9 @@ def find_anchors(data: np.ndarray, off: np.ndarray):
         pos = np.flatnonzero(_slide(padded, SPAN, np.maximum) == h)
         row = np.searchsorted(off, pos, "right") - 1
         left, right = np.minimum(pos - off[row], BEFORE), np.minimum(off[row + 1] - pos, LENGTH)
-        a, b = pos - left, pos + right
-        ctx = mix64((c[b] - c[a]) * down[a] + mix64((left * 256 + right).astype(U)))
-    return pos, left, right, h[pos], ctx
+    raw, digest = data.tobytes(), hashlib.blake2b
+    ctx = b"".join(digest(raw[a:b], digest_size=16, salt=x.to_bytes(2, "little")).digest() for a, b, x in zip((pos - left).tolist(), (pos + right).tolist(), (left * 128 + right).tolist(), strict=True))
+    return pos, left, right, h[pos], np.frombuffer(ctx, U).reshape(-1, 2)
 
 
 def merge_ranges(r: np.ndarray) -> np.ndarray:
@@ -132,9 +135,9 @@ def resolve_contexts(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(earliest anchor of each gram and context, ranges of all others)."""
     if not len(a):
         return a, np.zeros(0, RANGE)
-    a = a[np.lexsort((a["pos"], a["rk"], a["doc"], a["ctx"], a["h"]))]
+    a = a[np.lexsort((a["pos"], a["rk"], a["doc"], a["ctx2"], a["ctx"], a["h"]))]
     same = np.zeros(len(a), bool)
-    same[1:] = (a["h"][1:] == a["h"][:-1]) & (a["ctx"][1:] == a["ctx"][:-1])
+    same[1:] = (a["h"][1:] == a["h"][:-1]) & (a["ctx"][1:] == a["ctx"][:-1]) & (a["ctx2"][1:] == a["ctx2"][:-1])
     again = same.copy()
     # a row equal in id and text stands for the same document: its anchors are the same place
     again[1:] &= (a["doc"][1:] != a["doc"][:-1]) | (a["rk"][1:] != a["rk"][:-1]) | (a["pos"][1:] != a["pos"][:-1])
@@ -152,34 +155,42 @@ def _doc_ids(column: pa.Array) -> np.ndarray:
     return column.fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _blobs(kept: list, ranges: list, buckets: int):
+    """Distinct contexts by bucket, and the ranges of the others, as one batch."""
+    a, more = resolve_contexts(np.concatenate(kept))
+    r = merge_ranges(np.concatenate([*ranges, more]))
+    bucket = (a["h"] % U(buckets)).astype(np.int64)
+    order = np.lexsort((a["pos"], a["rk"], a["doc"], bucket))
+    a, bucket = a[order], bucket[order]
+    cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+    blobs = [_pack(x) for x in np.split(a, cut[1:])] if len(a) else []
+    keys = bucket[cut].tolist()
+    if len(r):
+        blobs.append(_pack(r))
+        keys.append(int(r["doc"][0]) % buckets)
+    kinds = [0] * (len(keys) - bool(len(r))) + [1] * bool(len(r))
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "kind", "blob"])
+
+
 def _anchor_blobs(buckets: int):
     def run(batches):
+        kept, ranges, held = [], [], 0
         for b in batches:
             docs, rks = _doc_ids(b.column("doc_id")), b.column("rk").to_numpy(zero_copy_only=False)
-            kept, ranges = [], []
             for first, n, data, off in pieces(b.column("text"), 1_500_000):
                 pos, left, right, h, ctx = find_anchors(data, off)
                 row = np.searchsorted(off, pos, "right") - 1
                 a = np.empty(len(pos), ANCHOR)
-                a["h"], a["ctx"], a["doc"], a["rk"], a["pos"], a["left"], a["right"] = h, ctx, docs[first + row], rks[first + row], pos - off[row], left, right
+                a["h"], a["ctx"], a["ctx2"], a["doc"], a["rk"], a["pos"], a["left"], a["right"] = h, ctx[:, 0], ctx[:, 1], docs[first + row], rks[first + row], pos - off[row], left, right
                 one, more = resolve_contexts(a)
                 kept.append(one)
-                ranges.append(more)
-            if not kept:
-                continue
-            a, more = resolve_contexts(np.concatenate(kept))
-            ranges = merge_ranges(np.concatenate([*ranges, more]))
-            bucket = (a["h"] % U(buckets)).astype(np.int64)
-            order = np.lexsort((a["pos"], a["rk"], a["doc"], bucket))
-            a, bucket = a[order], bucket[order]
-            cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-            blobs = [_pack(x) for x in np.split(a, cut[1:])] if len(a) else []
-            keys = bucket[cut].tolist()
-            if len(ranges):
-                blobs.append(_pack(ranges))
-                keys.append(int(ranges["doc"][0]) % buckets)
-            kinds = [0] * (len(keys) - bool(len(ranges))) + [1] * bool(len(ranges))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "kind", "blob"])
+                ranges.append(merge_ranges(more))
+                held += len(one)
+            if held > HELD:
+                yield _blobs(kept, ranges, buckets)
+                kept, ranges, held = [], [], 0
+        if kept:
+            yield _blobs(kept, ranges, buckets)
 
     return run
 
@@ -238,7 +249,8 @@ class BlindTrie:
         while isinstance(node, tuple):
             node = node[1].get(self._byte(i, node[0])) or next(iter(node[1].values()))
         a, b = self.strings[i], self.strings[node[0]]
-        d, most = self.depth, min(len(a), len(b))
+        most = min(len(a), len(b))
+        d = min(self.depth, most)
         while d < most and a[d : d + 8] == b[d : d + 8]:
             d += 8
         d = min(d, most)
@@ -277,39 +289,56 @@ class BlindTrie:
         return out
 
 
+def _multikey(word: np.ndarray, size: np.ndarray, order: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, group) after three-way multikey quicksort of every group to ``depth`` words.
+
+    All groups that aren't done take a step at once: around its pivot (the middle of three members' words) a group
+    falls into what is smaller, equal and larger; the equal part goes on at the next word, the others at this one.
+    """
+    at = np.zeros(int(group[-1]) + 1 if len(group) else 0, np.int64)  # the word each group is at
+    while True:
+        count = np.bincount(group, minlength=len(at))
+        places = np.flatnonzero(((count > 1) & (at < depth))[group])
+        if not len(places):
+            return order, group
+        own = group[places]
+        edge = np.flatnonzero(np.diff(own, prepend=-1))
+        end = np.append(edge[1:], len(own))
+        member = order[places]
+        w = at[own]
+        value, used = word[member, w], np.minimum(size[member], 8 * w + 8)
+        # the middle of the first, middle and last member by (word, bytes used)
+        trio = np.stack([edge, (edge + end) // 2, end - 1], axis=1)
+        rank = np.lexsort((used[trio], value[trio]), axis=1)[:, 1]
+        pivot = np.repeat(trio[np.arange(len(trio)), rank], end - edge)
+        side = np.where(value == value[pivot], np.sign(used - used[pivot]) + 1, np.where(value < value[pivot], 0, 2))
+        by = np.argsort(own * 3 + side, kind="stable")
+        order[places] = member[by]
+        key = np.zeros(len(order), bool)
+        key[1:] = group[1:] != group[:-1]
+        part = (own * 3 + side)[by]
+        key[places[1:]] |= (part[1:] != part[:-1]) & (places[1:] == places[:-1] + 1)
+        # words of the new groups, read off their first members
+        step = at[group]
+        step[places] += side[by] == 1
+        group = np.cumsum(key)
+        at = step[np.flatnonzero(np.diff(group, prepend=-1))]
+
+
 def deep_shallow(strings: list[bytes], bucket: np.ndarray, width: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """(order, lcp with the one before) of strings sorted by (bucket, bytes); lcp is -1 where a bucket begins."""
     n, wide = len(strings), -(-width // 8) * 8
     size = np.fromiter(map(len, strings), np.int64, n)
     flat = np.frombuffer(b"".join(s.ljust(wide, b"\0") for s in strings), np.uint8).reshape(n, wide)
-    word = flat.view(">u8").astype(U)
+    depth = min(shallow, wide) // 8
     order = np.argsort(bucket, kind="stable")
-    group = np.cumsum(np.diff(bucket[order], prepend=bucket[order[:1]] - 1) != 0) if n else np.zeros(0, np.int64)
-    active = np.arange(n)  # places whose group has several members
-    for w in range(min(shallow, wide) // 8):
-        count = np.bincount(group, minlength=int(group[-1]) + 1 if n else 1)
-        active = active[count[group[active]] > 1]
-        if not len(active):
-            break
-        # one step of multikey quicksort on all groups at once: stable order by this word inside each group
-        member = order[active]
-        by = np.lexsort((np.minimum(size[member], 8 * w + 8), word[member, w], group[active]))
-        order[active] = member[by]
-        # places keep their old group as base and are split where the word changes
-        key = np.zeros(n, bool)
-        key[1:] = group[1:] != group[:-1]
-        m = order[active]
-        change = np.zeros(len(active), bool)
-        change[1:] = (active[1:] != active[:-1] + 1) | (word[m[1:], w] != word[m[:-1], w]) | (np.minimum(size[m[1:]], 8 * w + 8) != np.minimum(size[m[:-1]], 8 * w + 8))
-        key[active] |= change
-        key[0] = False
-        group = np.cumsum(key)
+    group = np.cumsum(np.diff(bucket[order], prepend=bucket[order[:1]]) != 0) if n else np.zeros(0, np.int64)
+    order, group = _multikey(flat.view(">u8").astype(U), size, order, group, depth)
     edge = np.flatnonzero(np.diff(group, prepend=-1))
     for a, b in zip(edge, np.append(edge[1:], n), strict=True):
-        if b - a > 1:
-            trie = BlindTrie(strings, 0)
-            members = order[a:b].tolist()
-            for i in members:
+        if b - a > 1:  # they share what quicksort has seen
+            trie = BlindTrie(strings, 8 * depth)
+            for i in order[a:b].tolist():
                 trie.insert(i)
             order[a:b] = trie.ordered()
     lcp = np.full(n, -1, np.int64)
