@@ -10,7 +10,10 @@ Model: one causal self-attention layer with a feed-forward layer, in numpy, on t
 public subword vocabulary (each distinct word of a block is tokenized once).  It predicts the
 next id's class; ``P(id) = P(class | context) * P(id | class)``, where classes hold frequent ids
 alone and the others by kind and frequency, and ``P(id | class)`` comes from the ids' counts in
-all training documents.  Texts are covered by windows of ``WINDOW`` inputs every ``STRIDE``; a
+all training documents.  A word's probability
+is half that of its ids and half that of a discounted count, ``max(c - 0.75, 0) / N``, with the
+mass that the discount frees given to the ids' probability again (all of it sums to one over all
+words).  Texts are covered by windows of ``WINDOW`` inputs every ``STRIDE``; a
 window scores only what the one before it didn't, so each id is scored once with at least
 ``WINDOW - STRIDE`` ids of context, in masked batches.  The weights learn from every training
 document, whatever its length: documents are dealt by hash into rounds (``ROUNDS``) of groups of
@@ -48,6 +51,7 @@ FEW_WINDOWS = 20_000  # groups below go over their windows twice
 BLOCK_BYTES = 8_000_000
 MERGERS = 8
 RANGES = 64
+DISCOUNT, TRUST = 0.75, 0.5  # taken off a word's count; the share of the counts in a word's probability
 LN10 = float(np.log(10))
 
 
@@ -119,7 +123,7 @@ def group_words(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def subwords(lexicon: Lexicon, data, s, e, wo, grouped):
-    """(ids with an end per row, row offsets into them)."""
+    """(ids with an end per row, row offsets into them, ids of each word)."""
     unique, first, inverse = grouped
     flat, place, size = lexicon.lookup(unique, data, s[first], e[first])
     n = size[inverse]
@@ -130,7 +134,7 @@ def subwords(lexicon: Lexicon, data, s, e, wo, grouped):
     keep = np.ones(ro[-1], bool)
     keep[ro[1:] - 1] = False
     ids[keep] = flat[at]
-    return ids, ro
+    return ids, ro, n
 
 
 def assign_classes(counts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +193,7 @@ class AttentionModel:
         return h @ p["out"] + p["bias"], (a, q, k, v, s, m, y, z, h)
 
     def _logits(self, x: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        """As _forward for the wanted places, with fewer passes over memory; scores are clipped instead of shifted."""
+        """As _forward for the wanted places, with fewer passes over memory: scores are shifted only where exp needs it."""
         p, scale = self.p, np.float32(1 / np.sqrt(WIDTH))
         a = self.inputs[x]
         a += p["pos"]
@@ -199,7 +203,9 @@ class AttentionModel:
         k, v = (a @ p["qkv"][:, d : 2 * d]).reshape(b, t, d), np.ones((b, t, d + 1), np.float32)
         v[:, :, :d] = (a @ p["qkv"][:, 2 * d :]).reshape(b, t, d)
         s = np.matmul(q, np.ascontiguousarray(k.transpose(0, 2, 1)))
-        np.minimum(s, np.float32(60), out=s)
+        if s.max(initial=0) > 60:
+            s[:, self.seen == 0] = -np.inf
+            s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
         s *= self.seen
         m = np.matmul(s, v).reshape(-1, d + 1)[wanted]
@@ -213,7 +219,7 @@ class AttentionModel:
         out += p["bias"]
         most = np.sqrt(np.einsum("ij,ij->i", a, a).max(initial=0)) * self.reach + np.abs(p["bias"]).max()
         if not most < 60:  # else no logit can be too large for exp
-            np.minimum(out, np.float32(60), out=out)
+            out -= out.max(axis=1, keepdims=True)
         return out
 
     def fit(self, ids: np.ndarray, ro: np.ndarray, batch: int = 96, rate: float = 0.015, seed: int = 6) -> AttentionModel:
@@ -271,7 +277,7 @@ class AttentionModel:
         return self
 
     def score(self, ids: np.ndarray, ro: np.ndarray, batch: int = 256) -> np.ndarray:
-        """Natural log probability of each row's ids."""
+        """Natural log probability of each id after those before it in its row."""
         start, end, skip = cut_windows(ro)
         out = np.zeros(len(ids))
         self.seen = np.tril(np.ones((WINDOW, WINDOW), np.float32))
@@ -291,8 +297,7 @@ class AttentionModel:
             picked = logits[np.arange(len(logits)), self.cls[y]]
             np.exp(logits, out=logits)
             out[at] = picked - np.log(logits @ np.ones(logits.shape[1], np.float32)) + self.log_in[y]
-        return np.add.reduceat(out, ro[:-1]) if len(ro) > 1 else np.zeros(0)
-
+        return out
 
     def rows(self) -> np.ndarray:
         """All weights as rows of WIDTH: the embeddings, then the others (padded)."""
@@ -344,8 +349,8 @@ def _learn(model, rate: float, path: str):
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         text = group.sort_by([("order", "ascending"), ("text", "ascending")]).column("text")
         sample = [subwords(lexicon(path), d, s, e, wo, grouped) for _, _, d, s, e, wo, grouped in _block_words(text)]
-        ids = np.concatenate([x for x, _ in sample])
-        ro = np.cumsum([0, *np.concatenate([np.diff(o) for _, o in sample])])
+        ids = np.concatenate([x for x, _, _ in sample])
+        ro = np.cumsum([0, *np.concatenate([np.diff(o) for _, o, _ in sample])])
         old = model.value
         rows = old.rows()
         new = old.moved(np.zeros_like(rows)).fit(ids, ro, rate=rate)
@@ -450,6 +455,17 @@ def _add_ids(batches):
         yield pa.RecordBatch.from_arrays([pa.array([at.astype("<i4").tobytes() + total[at].astype("<i8").tobytes()], pa.binary())], ["blob"])
 
 
+def word_logs(spelled: np.ndarray, count, total: int, distinct: int) -> np.ndarray:
+    """log10 of a word's probability from its ids' natural log probability and its count in training."""
+    log = spelled / LN10
+    if not total:
+        return log
+    own = (1 - TRUST) + TRUST * DISCOUNT * distinct / total  # what the ids' probability counts
+    counted = np.maximum(np.asarray(count, float) - DISCOUNT, 0) * TRUST / total
+    with np.errstate(divide="ignore"):
+        return np.logaddexp(np.log(counted), spelled + np.log(own)) / LN10
+
+
 def score_documents(df: DataFrame, path: str = VOCABULARY, folds: int = 5, held_fold: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     spark = df.sparkSession
@@ -488,8 +504,7 @@ def score_documents(df: DataFrame, path: str = VOCABULARY, folds: int = 5, held_
         got = dict(zip(right.column("bucket").to_pylist(), right.column("totals").to_pylist(), strict=True))
         c = np.concatenate([np.frombuffer(got[i], "<f8") for i in sorted(got)]) if got else np.zeros(0)
         logs = np.log10(c + 0.5) - z
-        n = len(left)
-        size, known, base, lm = (np.zeros(n, k) for k in (np.int64, np.int64, float, float))
+        size, known, base, lm = (np.zeros(len(left), k) for k in (np.int64, np.int64, float, float))
         for first, rows, data, s, e, wo, grouped in parts:
             unique, _, inverse = grouped
             at, row = np.searchsorted(hashes, unique)[inverse], np.repeat(np.arange(rows), np.diff(wo))
@@ -497,8 +512,13 @@ def score_documents(df: DataFrame, path: str = VOCABULARY, folds: int = 5, held_
             size[here] = np.diff(wo) + 1
             known[here] = np.bincount(row, c[at] > 0, rows).astype(np.int64) + (ends > 0)
             base[here] = np.bincount(row, logs[at], rows) + np.log10(ends + 0.5) - z
-            lm[here] = shared.value.score(*subwords(lexicon(path), data, s, e, wo, grouped)) / LN10
-        return pa.table({"doc_id": left.column("doc_id"), "held_out": left.column("held_out"), "n_tokens": size, "n_known": known, "train_tokens": np.full(n, n_total), "base_score": base, "score": lm})
+            ids, ro, n = subwords(lexicon(path), data, s, e, wo, grouped)
+            logs_ids = shared.value.score(ids, ro)
+            # the last id of a row is its end; a word's ids follow each other
+            words_ids = np.delete(logs_ids, ro[1:] - 1)
+            spelled = np.add.reduceat(words_ids, np.cumsum(n) - n) if len(n) else np.zeros(0)
+            lm[here] = np.bincount(row, word_logs(spelled, c[at], n_total, n_words), rows) + word_logs(logs_ids[ro[1:] - 1], float(ends), n_total, n_words)
+        return pa.table({"doc_id": left.column("doc_id"), "held_out": left.column("held_out"), "n_tokens": size, "n_known": known, "train_tokens": np.full(len(left), n_total), "base_score": base, "score": lm})
 
     left = docs.groupBy("block")
     right = answered.where("block >= 0").groupBy("block")
