@@ -63,11 +63,13 @@ ROLES = frozenset("navigation banner contentinfo complementary search alert dial
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navigation navbar menu breadcrumb breadcrumbs header footer masthead sidebar aside side rail widget cookie cookies consent notice notification alert gdpr popup modal overlay newsletter subscribe subscription signup login share sharing social comment comments reply replies respond disqus discussion related recommended pagination pager form search".split()
 )
+#: Of these, the ones that are never spared for an article inside: readers write articles too.
+COMMENTS = frozenset("comment comments reply replies respond disqus discussion".split())
 #: Inside an article, headers belong to it.
 IN_ARTICLE = frozenset(["header", "masthead", "banner"])
 
 
-def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
+def _dropped(tag: str, attributes: str, in_article: bool, spare: bool = False) -> bool:
     if tag in DROP or tag == "header" and not in_article:
         return True
     if "=" not in attributes and "hidden" not in attributes:
@@ -75,7 +77,7 @@ def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name in ("class", "id"):
-            marks = MARKS.intersection(re.split(r"[^a-z0-9]+", value))
+            marks = (COMMENTS if spare and not in_article else MARKS).intersection(re.split(r"[^a-z0-9]+", value))
             if marks - IN_ARTICLE if in_article else marks:
                 return tag not in ("body", "html", "main")
         elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
@@ -96,7 +98,7 @@ class Parse:
     and the hash of its tag token.
     """
 
-    def __init__(self, page: str):
+    def __init__(self, page: str, spare: bool = False):
         self.events: list[tuple[int, str, int, bool, int, int]] = []
         self.around, self.token = [-1], [0]
         stack: list[tuple[str, bool, int, int, int]] = []  # tag, dropped, articles, place, container
@@ -138,7 +140,7 @@ class Parse:
                 found = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
                 at = found.end() if found else end
                 continue
-            gone = dropped or _dropped(tag, attributes, articles > 0)
+            gone = dropped or _dropped(tag, attributes, articles > 0, spare)
             if tag in CONTAINERS:
                 self.around.append(box)
                 self.token.append(_hash(f"1 {place} {tag}[{kinds}]"))
@@ -148,13 +150,26 @@ class Parse:
             open_[tag] = open_.get(tag, 0) + 1
 
 
+    def has_article(self) -> bool:
+        return any(kind == 0 and articles and not dropped and not what.isspace() for kind, what, _, dropped, articles, _ in self.events)
+
+
+def read(page: str) -> Parse:
+    """The page's events; where class or id marks hide every article, they don't hold for what is around articles."""
+    parse = Parse(page)
+    if not parse.has_article() and re.search(r"<(?:article|main)\b", page, re.I):
+        spared = Parse(page, spare=True)
+        return spared if spared.has_article() else parse
+    return parse
+
+
 def template_tokens(page: str) -> dict[tuple[int, int], tuple[int, bool]]:
     """Occurrences of each token of a page with its place, and whether it is text inside an article.
 
     Tokens are tags with their classes, text nodes, and the places that elements make.
     """
     out: dict[tuple[int, int], tuple[int, bool]] = {}
-    for kind, what, place, _, articles, _ in Parse(page).events:
+    for kind, what, place, _, articles, _ in read(page).events:
         what = " ".join(what.split()) if kind == 0 else what
         if not what:
             continue
@@ -192,7 +207,7 @@ def _content(parse: Parse, slots: list[tuple[int, int, int]], template: frozense
 
 def main_text(page: str, template: frozenset | set) -> str:
     """Text of the slots that hold the article."""
-    parse, blocks = Parse(page), [[]]
+    parse, blocks = read(page), [[]]
     for kind, what, place, dropped, articles, box in parse.events:
         if kind:
             if what.partition("[")[0] in BLOCK and blocks[-1]:
@@ -278,8 +293,8 @@ def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "h
         return pa.array([main_text(page, frozenset(t or ())) for page, t in zip(html.to_pylist(), template.to_pylist(), strict=True)], pa.string())
 
     names = pages.columns
-    keyed = pages.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), host.alias("host"), html.alias("html"), F.pmod(F.xxhash64(html), F.lit(SALTS)).alias("salt"))
-    spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    keyed = pages.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), host.alias("host"), html.alias("html"), F.pmod(F.xxhash64(html), F.lit(SALTS)).cast("long").alias("salt"))
+    spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     joined = keyed.join(spread, ["host", "salt"], "left")
     return joined.select(*(F.col("row").getField(c).alias(c) for c in names if c != out_col), F.arrow_udf(by_template, "string")(F.col("html"), F.col("template")).alias(out_col))
 
