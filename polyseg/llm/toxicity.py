@@ -144,11 +144,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, featu
 
     def chosen(batches):
         for b in batches:
-            for grade, n, ws in zip(b.column("grade"), b.column("n"), b.column("ws"), strict=True):
-                held = np.intersect1d(ws.values.to_numpy().view(U), shared.value).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([grade.as_py()], pa.int32()), pa.array([n.as_py()], pa.int64()), pa.array([held], pa.list_(pa.int64()))], ["grade", "n", "ws"])
+            found = [np.intersect1d(ws.values.to_numpy().view(U), shared.value).view(np.int64) for ws in b.column("ws")]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("grade"), b.column("n"), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "grade", "n", "ws"])
 
-    got = held.mapInArrow(chosen, "grade int, n long, ws array<long>").toPandas()
+    got = held.mapInArrow(chosen, "doc_id long, grade int, n long, ws array<long>").toPandas()
+    got["first"], got["size"] = got["ws"].map(lambda x: x[0] if len(x) else 0), got["ws"].map(len)
+    got = got.sort_values(["doc_id", "n", "size", "first"], ignore_index=True)  # the fit doesn't depend on how rows arrive
     grade = got["grade"].to_numpy(np.int64)
     sizes = got["ws"].map(len).to_numpy()
     flat = np.concatenate([np.asarray(x, np.int64) for x in got["ws"]]).view(U) if sizes.sum() else np.zeros(0, U)
