@@ -86,29 +86,45 @@ def superminhash(g: np.ndarray, off: np.ndarray, m: int = SLOTS) -> np.ndarray:
     return sig
 
 
-def shingle_sets(column: pa.Array, k: int = WORDS, piece: int = 1_000_000):
-    """(first row, sorted distinct hashes, row offsets, 16-byte class keys) of pieces of a text column."""
+def word_sequences(column: pa.Array, piece: int = 1_000_000):
+    """(first row, word hashes, row offsets, 16-byte class keys) of pieces of a text column."""
     for first, n, data, off in pieces(column, piece):
         s, e, wo = words(data, off)
         h = word_hashes(data, s, e)
+        raw, at = h.tobytes(), (8 * wo).tolist()
+        keys = [hashlib.blake2b(raw[at[i] : at[i + 1]], digest_size=16).digest() if at[i + 1] > at[i] else None for i in range(n)]
+        yield first, h, wo, keys
+
+
+def shingle_sets(column: pa.Array, k: int = WORDS, piece: int = 1_000_000):
+    """(first row, sorted distinct hashes, row offsets, 16-byte class keys) of pieces of a text column."""
+    for first, h, wo, keys in word_sequences(column, piece):
         g, r = shingles(h, wo, k)
-        g, so = distinct(g, r, n)
-        keys = [hashlib.blake2b(h[wo[i] : wo[i + 1]].tobytes(), digest_size=16).digest() if wo[i + 1] > wo[i] else None for i in range(n)]
-        yield first, g, so, keys
+        yield first, *distinct(g, r, len(keys)), keys
+
+
+def _vertices(keys: list) -> pa.Array:
+    return pa.array([None if k is None else int.from_bytes(k[:8], "little") >> 1 for k in keys], pa.int64())
 
 
 def _class_rows(*carried: str):
-    """Carried columns, the size of the set and the class of each row."""
+    """Carried columns and the class of each row."""
 
     def run(batches):
         for b in batches:
-            for first, _, so, keys in shingle_sets(b.column("text")):
-                vertex = [None if k is None else int.from_bytes(k[:8], "little") >> 1 for k in keys]
-                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(first, len(keys)) for c in carried), pa.array(np.diff(so), pa.int64()), pa.array(vertex, pa.int64())], [*carried, "n_shingles", "v"])
+            for first, _, _, keys in word_sequences(b.column("text")):
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(first, len(keys)) for c in carried), _vertices(keys)], [*carried, "v"])
 
     return run
 
 
+def _sized_rows(batches):
+    """The size of the set and the class of each row."""
+    for b in batches:
+        for first, _, so, keys in shingle_sets(b.column("text")):
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(first, len(keys)), pa.array(np.diff(so), pa.int64()), _vertices(keys)], ["doc_id", "n_shingles", "v"])
+
+
 def _band_rows(batches):
     for b in batches:
         for first, g, so, keys in shingle_sets(b.column("text")):
@@ -324,7 +340,7 @@ def near_components(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def class_components(docs: DataFrame, percent: int) -> DataFrame:
     """(v, c) for the classes of docs(text) that have a link."""
-    texts = docs.select("text").mapInArrow(_class_rows("text"), "text string, n_shingles long, v long").where("v is not null")
+    texts = docs.select("text").mapInArrow(_class_rows("text"), "text string, v long").where("v is not null")
     return near_components(texts.groupBy(F.col("v").alias("doc_id")).agg(F.min("text").alias("text")), percent)
 
 
@@ -334,7 +350,7 @@ def near_duplicates(df: DataFrame, percent: int = PERCENT, id_col: str = "doc_id
     ensure_checkpoints(spark)
     small_batches(spark)
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    keyed = docs.mapInArrow(_class_rows("doc_id"), "doc_id long, n_shingles long, v long").checkpoint()
+    keyed = docs.mapInArrow(_sized_rows, "doc_id long, n_shingles long, v long").checkpoint()
     first = keyed.where("v is not null").groupBy("v").agg(F.min("doc_id").alias("rep"))
     label = first.join(class_components(docs, percent), "v", "left").withColumn("c", F.coalesce("c", "v"))
     smallest = label.groupBy("c").agg(F.min("rep").alias("component_id"))
@@ -351,7 +367,7 @@ def without_near_duplicates(df: DataFrame, percent: int = PERCENT, id_col: str =
     blank = F.coalesce(F.col(text_col), F.lit("")).rlike(r"\A[\x20\x09-\x0D]*\z")
     worded, row = df.where(~blank), [F.xxhash64(F.lit(k), *(F.col(f"`{c}`") for c in df.columns)) for k in (1, 2)]
     docs = worded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row[0].alias("row"), row[1].alias("row2"))
-    keyed = docs.mapInArrow(_class_rows("doc_id", "row", "row2"), "doc_id long, row long, row2 long, n_shingles long, v long").checkpoint()
+    keyed = docs.mapInArrow(_class_rows("doc_id", "row", "row2"), "doc_id long, row long, row2 long, v long").checkpoint()
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "row2")).alias("best")
     label = keyed.groupBy("v").agg(best).join(class_components(docs, percent), "v", "left")
     best = label.groupBy(F.coalesce("c", "v").alias("c")).agg(F.min("best").alias("best")).select(F.col("best.row").alias("r1"), F.col("best.row2").alias("r2"))
