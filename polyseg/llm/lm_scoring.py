@@ -8,12 +8,13 @@ frequent word is one entry per block.
 
 Model: one causal self-attention layer with a feed-forward layer, in numpy, on the ids of a
 public subword vocabulary (each distinct word of a block is tokenized once).  It predicts the
-next id's class; ``P(id) = P(class | context) * P(id | class)``, where classes hold frequent ids
+next id's class in two steps, ``P(group | context) * P(class | group, context)``, so that a place
+costs some tens of outputs; ``P(id) = P(class | context) * P(id | class)``, where classes hold frequent ids
 alone and the others by kind and frequency, and ``P(id | class)`` comes from the ids' counts in
 all training documents.  A word's probability
 is half that of its ids and half that of a discounted count, ``max(c - 0.75, 0) / N``, with the
 mass that the discount frees given to the ids' probability again (all of it sums to one over all
-words).  Texts are covered by windows of ``WINDOW`` inputs every ``STRIDE``; a
+words).  A text's probability is the mean of what its words so give and what its ids alone give.  Texts are covered by windows of ``WINDOW`` inputs every ``STRIDE``; a
 window scores only what the one before it didn't, so each id is scored once with at least
 ``WINDOW - STRIDE`` ids of context, in masked batches.  The weights learn from every training
 document, whatever its length: documents are dealt by hash into rounds (``ROUNDS``) of groups of
@@ -44,7 +45,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END, N_IDS = 50_256, 50_257
 WINDOW, STRIDE = 32, 24
 WIDTH, INNER = 16, 32
-SINGLES, BINS = 128, 16
+SINGLES, BINS = 992, 32
+GROUP = BINS  # classes of a group: frequent ids by rank, then the bins of ids that begin a word, then the others
 ROUNDS = ((1 / 16, 0.015), (1 / 4, 0.01), (1.0, 0.007))  # up to which share of the documents, and the rate
 FIT_BYTES = 4_000_000
 FEW_WINDOWS = 20_000  # groups below go over their windows twice
@@ -171,8 +173,10 @@ class AttentionModel:
         self.p = {
             "emb": (rng.standard_normal((N_IDS, WIDTH)) * 0.1).astype(np.float32), "cls": (rng.standard_normal((c, WIDTH)) * 0.5).astype(np.float32), "pos": (rng.standard_normal((WINDOW, WIDTH)) * 0.1).astype(np.float32),
             "qkv": init(WIDTH, 3 * WIDTH), "wo": init(WIDTH, WIDTH), "w1": init(WIDTH, INNER), "b1": np.zeros(INNER, np.float32), "w2": init(INNER, WIDTH), "out": init(WIDTH, c) * np.float32(0.1), "bias": np.log(share / share.sum()).astype(np.float32),
+            "top": init(WIDTH, c // GROUP) * np.float32(0.1), "edge": np.log(share.reshape(-1, GROUP).sum(axis=1) / share.sum()).astype(np.float32),
         }
         self.mask = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+        self.seen = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
     def _forward(self, x: np.ndarray):
         p = self.p
@@ -182,17 +186,19 @@ class AttentionModel:
         q, k, v = qkv[:, :, :d], qkv[:, :, d : 2 * d], qkv[:, :, 2 * d :]
         s = np.matmul(q, k.transpose(0, 2, 1))
         s *= np.float32(1 / np.sqrt(d))
-        s += self.mask
-        s -= s.max(axis=2, keepdims=True)
+        if s.max(initial=0) > 60:  # else exp needs no shift
+            s += self.mask
+            s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
+        s *= self.seen
         s /= s.sum(axis=2, keepdims=True)
         m = np.matmul(s, v)
         y = a + (m.reshape(-1, d) @ p["wo"]).reshape(b, t, d)
         z = np.maximum(y.reshape(-1, d) @ p["w1"] + p["b1"], 0)
         h = y.reshape(-1, d) + z @ p["w2"]
-        return h @ p["out"] + p["bias"], (a, q, k, v, s, m, y, z, h)
+        return h, (a, q, k, v, s, m, y, z)
 
-    def _logits(self, x: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    def _states(self, x: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """As _forward for the wanted places, with fewer passes over memory: scores are shifted only where exp needs it."""
         p, scale = self.p, np.float32(1 / np.sqrt(WIDTH))
         a = self.inputs[x]
@@ -215,14 +221,55 @@ class AttentionModel:
         z += p["b1"]
         np.maximum(z, 0, out=z)
         a += z @ p["w2"]
-        out = a @ p["out"]
-        out += p["bias"]
-        most = np.sqrt(np.einsum("ij,ij->i", a, a).max(initial=0)) * self.reach + np.abs(p["bias"]).max()
-        if not most < 60:  # else no logit can be too large for exp
-            out -= out.max(axis=1, keepdims=True)
+        return a
+
+    def _parts(self, cls: np.ndarray):
+        """(group, order by group, the columns and ordered places of every group there is)."""
+        group = cls // GROUP
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        edge = np.searchsorted(group[order], np.arange(len(self.p["edge"]) + 1)).tolist()
+        return group, order, [(slice(g * GROUP, (g + 1) * GROUP), slice(edge[g], edge[g + 1])) for g in range(len(edge) - 1) if edge[g + 1] > edge[g]]
+
+    def log_classes(self, h: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """log P(class) of each state's class."""
+        group, order, parts = self._parts(cls)
+        top = h @ self.p["top"] + self.p["edge"]
+        top -= top.max(axis=1, keepdims=True)
+        out = top[np.arange(len(h)), group] - np.log(np.exp(top).sum(axis=1))
+        own, right, within = h[order], cls[order] % GROUP, np.empty((len(h), GROUP), np.float32)
+        for at, rows in parts:
+            np.matmul(own[rows], self.p["out"][:, at], out=within[rows])
+            within[rows] += self.p["bias"][at]
+        within -= within.max(axis=1, keepdims=True)
+        out[order] += within[np.arange(len(h)), right] - np.log(np.exp(within).sum(axis=1))
         return out
 
-    def fit(self, ids: np.ndarray, ro: np.ndarray, batch: int = 96, rate: float = 0.015, seed: int = 6) -> AttentionModel:
+    def _output_gradient(self, h: np.ndarray, cls: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, dict]:
+        """Gradients of the weighted sum of -log P(class) by the states and the output weights."""
+
+        def residual(x: np.ndarray, right: np.ndarray, w: np.ndarray) -> np.ndarray:
+            x -= x.max(axis=1, keepdims=True)
+            np.exp(x, out=x)
+            x *= (w / x.sum(axis=1))[:, None]
+            x[np.arange(len(x)), right] -= w
+            return x
+
+        p, (group, order, parts) = self.p, self._parts(cls)
+        e = residual(h @ p["top"] + p["edge"], group, weight)
+        g = {"top": h.T @ e, "edge": e.sum(axis=0), "out": np.zeros_like(p["out"]), "bias": np.zeros_like(p["bias"])}
+        dh = e @ p["top"].T
+        own, back, e = h[order], np.empty_like(h), np.empty((len(h), GROUP), np.float32)
+        for at, rows in parts:
+            np.matmul(own[rows], p["out"][:, at], out=e[rows])
+            e[rows] += p["bias"][at]
+        e = residual(e, cls[order] % GROUP, weight[order])
+        for at, rows in parts:
+            g["out"][:, at], g["bias"][at] = own[rows].T @ e[rows], e[rows].sum(axis=0)
+            np.matmul(e[rows], p["out"][:, at].T, out=back[rows])
+        dh[order] += back
+        return dh, g
+
+    def fit(self, ids: np.ndarray, ro: np.ndarray, batch: int = 192, rate: float = 0.015, seed: int = 6) -> AttentionModel:
         """Fit on windows side by side, which hold each id once."""
         start, end, _ = cut_windows(ro, WINDOW)
         before = np.concatenate([[END], ids[:-1]]).astype(np.int32)
@@ -237,15 +284,9 @@ class AttentionModel:
                 at = start[at, None] + np.arange(WINDOW), end[at, None]
                 good, at = at[0] < at[1], np.minimum(at[0], len(ids) - 1)
                 x, y = before[at], ids[at]
-                logits, (a, q, k, v, s, mm, yy, z, h) = self._forward(x)
+                h, (a, q, k, v, s, mm, yy, z) = self._forward(x)
                 b, tt, d = a.shape
-                logits -= logits.max(axis=1, keepdims=True)
-                e = np.exp(logits)
-                e /= e.sum(axis=1, keepdims=True)
-                e[np.arange(len(e)), self.cls[y.ravel()]] -= 1
-                e *= (good.ravel() / np.float32(good.sum())).astype(np.float32)[:, None]
-                g = {"out": h.T @ e, "bias": e.sum(axis=0)}
-                dh = e @ p["out"].T
+                dh, g = self._output_gradient(h, self.cls[y.ravel()], (good.ravel() / np.float32(good.sum())).astype(np.float32))
                 dz = (dh @ p["w2"].T) * (z > 0)
                 g |= {"w2": z.T @ dh, "w1": yy.reshape(-1, d).T @ dz, "b1": dz.sum(axis=0)}
                 dy = dh + dz @ p["w1"].T
@@ -280,9 +321,7 @@ class AttentionModel:
         """Natural log probability of each id after those before it in its row."""
         start, end, skip = cut_windows(ro)
         out = np.zeros(len(ids))
-        self.seen = np.tril(np.ones((WINDOW, WINDOW), np.float32))
         self.inputs = self.p["emb"] + self.p["cls"][self.cls]
-        self.reach = np.sqrt((self.p["out"] ** 2).sum(axis=0).max())
         before = np.concatenate([[END], ids[:-1]]).astype(np.int32)
         before[ro[:-1]] = END
         places = np.arange(WINDOW)
@@ -293,10 +332,7 @@ class AttentionModel:
             wanted = np.flatnonzero(good)
             x, at = before[at], at.ravel()[wanted]
             y = ids[at]
-            logits = self._logits(x, wanted)
-            picked = logits[np.arange(len(logits)), self.cls[y]]
-            np.exp(logits, out=logits)
-            out[at] = picked - np.log(logits @ np.ones(logits.shape[1], np.float32)) + self.log_in[y]
+            out[at] = self.log_classes(self._states(x, wanted), self.cls[y]) + self.log_in[y]
         return out
 
     def rows(self) -> np.ndarray:
@@ -517,7 +553,9 @@ def score_documents(df: DataFrame, path: str = VOCABULARY, folds: int = 5, held_
             # the last id of a row is its end; a word's ids follow each other
             words_ids = np.delete(logs_ids, ro[1:] - 1)
             spelled = np.add.reduceat(words_ids, np.cumsum(n) - n) if len(n) else np.zeros(0)
-            lm[here] = np.bincount(row, word_logs(spelled, c[at], n_total, n_words), rows) + word_logs(logs_ids[ro[1:] - 1], float(ends), n_total, n_words)
+            counted = np.bincount(row, word_logs(spelled, c[at], n_total, n_words), rows) + word_logs(logs_ids[ro[1:] - 1], float(ends), n_total, n_words)
+            # the text by the model alone or with counts, either as likely beforehand
+            lm[here] = np.logaddexp(counted * LN10, np.add.reduceat(logs_ids, ro[:-1])) / LN10 - np.log10(2)
         return pa.table({"doc_id": left.column("doc_id"), "held_out": left.column("held_out"), "n_tokens": size, "n_known": known, "train_tokens": np.full(len(left), n_total), "base_score": base, "score": lm})
 
     left = docs.groupBy("block")
