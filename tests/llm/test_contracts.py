@@ -276,7 +276,7 @@ def test_scoring_is_the_trained_function():
     rng = np.random.default_rng(8)
     model = lm_scoring.AttentionModel(rng.integers(0, 50, lm_scoring.N_IDS).astype(float), np.arange(lm_scoring.N_IDS) % 2 == 0)
     for scale in (1, 40):  # the second makes scores and logits too large for exp
-        for k in ("qkv", "out"):
+        for k in ("qkv", "out", "top"):
             model.p[k] = model.p[k] * np.float32(scale)
         ids, ro = rng.integers(0, 500, 180).astype(np.int32), np.array([0, 1, 40, 180])
         got = model.score(ids, ro)
@@ -287,12 +287,31 @@ def test_scoring_is_the_trained_function():
             x = np.full(lm_scoring.WINDOW, lm_scoring.END)
             n = min(lm_scoring.WINDOW, e - s)
             x[:n] = before[s : s + n]
-            logits = model._forward(x[None])[0].astype(float)
-            logp = logits - logits.max(axis=1, keepdims=True)
-            logp -= np.log(np.exp(logp).sum(axis=1, keepdims=True))
+            h = model._forward(x[None])[0].astype(float)
+            log = lambda v: v - v.max() - np.log(np.exp(v - v.max()).sum())
             for j in range(k, n):
                 y = ids[s + j]
-                assert abs(got[s + j] - (logp[j, model.cls[y]] + model.log_in[y])) < 2e-3 * max(1, abs(got[s + j]))
+                g, i = divmod(model.cls[y], lm_scoring.GROUP)
+                own = slice(g * lm_scoring.GROUP, (g + 1) * lm_scoring.GROUP)
+                want = log(h[j] @ model.p["top"] + model.p["edge"])[g] + log(h[j] @ model.p["out"][:, own] + model.p["bias"][own])[i] + model.log_in[y]
+                assert abs(got[s + j] - want) < 2e-3 * max(1, abs(got[s + j]))
+
+
+def test_output_gradient_against_differences():
+    rng = np.random.default_rng(9)
+    model = lm_scoring.AttentionModel(rng.integers(0, 50, lm_scoring.N_IDS).astype(float), np.arange(lm_scoring.N_IDS) % 2 == 0)
+    h, cls, weight = rng.standard_normal((40, lm_scoring.WIDTH)), rng.integers(0, len(model.p["bias"]), 40), rng.random(40).astype(np.float32)
+    model.p = {k: v.astype(float) for k, v in model.p.items()}
+    dh, g = model._output_gradient(h, cls, weight)
+    loss = lambda: -(weight * model.log_classes(h, cls)).sum()
+    for array, grad in ((h, dh), *((model.p[k], g[k]) for k in ("top", "edge", "out", "bias"))):
+        for at in [tuple(rng.integers(0, n) for n in array.shape) for _ in range(12)]:
+            array[at] += 1e-2
+            more = loss()
+            array[at] -= 2e-2
+            less = loss()
+            array[at] += 1e-2
+            assert abs((more - less) / 2e-2 - grad[at]) < 2e-3
 
 
 def test_word_probabilities_sum_to_one():
