@@ -161,6 +161,13 @@ def cut_windows(ro: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.nd
     return ro[row] + k * stride, ro[row + 1], np.where(k > 0, WINDOW - stride, 0)
 
 
+def _shifted(x: np.ndarray) -> np.ndarray:
+    """Rows of logits, less their largest in place where exp may need it (a constant a row changes no softmax)."""
+    if x.size and not -60 < x.min() <= x.max() < 60:
+        x -= x.max(axis=1, keepdims=True)
+    return x
+
+
 class AttentionModel:
     """One causal self-attention block that predicts the class of the next id."""
 
@@ -191,7 +198,7 @@ class AttentionModel:
             s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
         s *= self.seen
-        s /= s.sum(axis=2, keepdims=True)
+        s *= 1 / (s.reshape(-1, t) @ np.ones(t, np.float32)).reshape(b, t, 1)
         m = np.matmul(s, v)
         y = a + (m.reshape(-1, d) @ p["wo"]).reshape(b, t, d)
         z = np.maximum(y.reshape(-1, d) @ p["w1"] + p["b1"], 0)
@@ -233,24 +240,25 @@ class AttentionModel:
     def log_classes(self, h: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """log P(class) of each state's class."""
         group, order, parts = self._parts(cls)
-        top = h @ self.p["top"] + self.p["edge"]
-        top -= top.max(axis=1, keepdims=True)
-        out = top[np.arange(len(h)), group] - np.log(np.exp(top).sum(axis=1))
+        ones, each = np.ones(GROUP, np.float32), np.arange(len(h))
+        top = _shifted(h @ self.p["top"] + self.p["edge"])
+        out = top[each, group]
+        out -= np.log(np.exp(top, out=top) @ np.ones(top.shape[1], np.float32))
         own, right, within = h[order], cls[order] % GROUP, np.empty((len(h), GROUP), np.float32)
         for at, rows in parts:
             np.matmul(own[rows], self.p["out"][:, at], out=within[rows])
             within[rows] += self.p["bias"][at]
-        within -= within.max(axis=1, keepdims=True)
-        out[order] += within[np.arange(len(h)), right] - np.log(np.exp(within).sum(axis=1))
+        own = _shifted(within)[each, right]
+        own -= np.log(np.exp(within, out=within) @ ones)
+        out[order] += own
         return out
 
     def _output_gradient(self, h: np.ndarray, cls: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, dict]:
         """Gradients of the weighted sum of -log P(class) by the states and the output weights."""
 
         def residual(x: np.ndarray, right: np.ndarray, w: np.ndarray) -> np.ndarray:
-            x -= x.max(axis=1, keepdims=True)
-            np.exp(x, out=x)
-            x *= (w / x.sum(axis=1))[:, None]
+            np.exp(_shifted(x), out=x)
+            x *= (w / (x @ np.ones(x.shape[1], np.float32)))[:, None]
             x[np.arange(len(x)), right] -= w
             return x
 
@@ -293,13 +301,15 @@ class AttentionModel:
                 g["wo"] = mm.reshape(-1, d).T @ dy
                 dm = (dy @ p["wo"].T).reshape(b, tt, d)
                 ds = np.matmul(dm, v.transpose(0, 2, 1))
-                ds = s * (ds - (ds * s).sum(axis=2, keepdims=True)) * np.float32(1 / np.sqrt(d))
+                ds -= (dm * mm).sum(axis=2, keepdims=True)  # the sum of ds * s: mm is s times v
+                ds *= s
+                ds *= np.float32(1 / np.sqrt(d))
                 dqkv = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(s.transpose(0, 2, 1), dm)], axis=2).reshape(-1, 3 * d)
                 g["qkv"] = a.reshape(-1, d).T @ dqkv
                 da = dy + dqkv @ p["qkv"].T
                 g["pos"] = da.reshape(b, tt, d).sum(axis=0)
                 flat = x.ravel()
-                order = np.argsort(flat, kind="stable")
+                order = np.argsort(flat.astype(np.uint16), kind="stable")  # N_IDS < 2**16: a radix sort
                 used, first = np.unique(flat[order], return_index=True)
                 de = np.add.reduceat(da.reshape(-1, d)[order], first)
                 g["cls"] = np.zeros_like(p["cls"])
