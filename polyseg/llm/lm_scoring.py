@@ -67,7 +67,56 @@ def tokenizer(path: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+@lru_cache(maxsize=2)
+def _token_bytes(path: str) -> np.ndarray:
+    out = np.zeros(N_IDS, np.int64)
+    for b, i in tokenizer(path)._mergeable_ranks.items():
+        out[i] = len(b)
+    return out
+
+
+def encode_words(path: str, data: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, number of them per word) of each word at s..e, lowered and after a space, as if encoded alone.
+
+    Words are encoded in one string and parted where the ids' bytes end; the vocabulary's pattern never
+    matches over the space before a word, unless wide white space stands there: such words go one by one.
+    """
+    n = e - s + 1
+    end = np.cumsum(n)
+    if not len(n):
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
+    text = _LOWER[data[np.repeat(s - 1 - end + n, n) + np.arange(end[-1])]]  # the byte before a word gives way to a space
+    text[end - n] = 32
+    a, b = text[:-1], text[1:]
+    wide = np.flatnonzero((a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A) | (a == 0xE2) & (b >> 1 == 0x40) | (a == 0xE3) & (b == 0x80))
+    alone = np.zeros(len(n), bool)
+    alone[np.searchsorted(end, wide, "right")] = True
+    together = text[~np.repeat(alone, n)].tobytes()
+    size = np.zeros(len(n), np.int64)
+    ids, encoding = np.zeros(0, np.int32), tokenizer(path)
+    try:
+        ids = encoding.encode_to_numpy(together.decode()).astype(np.int32)
+        until, ends = np.cumsum(n[~alone]), np.cumsum(_token_bytes(path)[ids])
+        at = np.searchsorted(ends, until)
+        whole = len(ends) == 0 or at[-1] < len(ends) and bool((ends[at] == until).all())
+    except UnicodeDecodeError:
+        whole = False
+    if not whole:
+        alone[:], ids = True, np.zeros(0, np.int32)
+    elif len(ids):
+        size[~alone] = np.diff(at, prepend=-1)
+    if alone.any():
+        raw, one = text.tobytes(), np.flatnonzero(alone)
+        own = [encoding.encode_ordinary(raw[end[i] - n[i] : end[i]].decode("utf-8", "replace")) for i in one]
+        size[one] = [len(x) for x in own]
+        out, here = np.empty(size.sum(), np.int32), np.repeat(alone, size)
+        out[here], out[~here] = np.fromiter(chain.from_iterable(own), np.int32), ids
+        ids = out
+    return ids, size
 
 
 class Lexicon:
@@ -88,21 +137,17 @@ class Lexicon:
         return np.flatnonzero(self.keys[at] != hashes)
 
     def lookup(self, hashes: np.ndarray, data: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids of all words held, first place, number) of the distinct words whose bytes stand at s..e."""
+        """(ids of all words held, first place, number) of the distinct words, sorted by hash, whose bytes stand at s..e."""
         new = self._missing(hashes)
         if len(new) and len(self.keys) > self.most:
             self._clear()
             new = np.arange(len(hashes))
         if len(new):
-            raw, encode = data.tobytes(), tokenizer(self.path).encode_ordinary
-            ids = [encode(" " + raw[s[i] : e[i]].translate(_LOWER).decode("utf-8", "replace")) for i in new]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))])
+            ids, size = encode_words(self.path, data, s[new], e[new])
+            self.flat = np.concatenate([self.flat, ids])
             self.off = np.concatenate([self.off, self.off[-1] + np.cumsum(size)])
-            keys = np.concatenate([self.keys, hashes[new]])
-            row = np.concatenate([self.row, len(self.row) + np.arange(len(new))])
-            order = np.argsort(keys)
-            self.keys, self.row = keys[order], row[order]
+            at = np.searchsorted(self.keys, hashes[new])  # both are sorted
+            self.keys, self.row = np.insert(self.keys, at, hashes[new]), np.insert(self.row, at, len(self.row) + np.arange(len(new)))
         row = self.row[np.searchsorted(self.keys, hashes)]
         return self.flat, self.off[row], self.off[row + 1] - self.off[row]
 
@@ -187,7 +232,9 @@ class AttentionModel:
 
     def _forward(self, x: np.ndarray):
         p = self.p
-        a = p["emb"][x] + p["cls"][self.cls[x]] + p["pos"]
+        a = p["emb"].take(x, axis=0)
+        a += p["cls"].take(self.cls.take(x), axis=0)
+        a += p["pos"]
         b, t, d = a.shape
         qkv = (a.reshape(-1, d) @ p["qkv"]).reshape(b, t, 3 * d)
         q, k, v = qkv[:, :, :d], qkv[:, :, d : 2 * d], qkv[:, :, 2 * d :]
@@ -205,24 +252,25 @@ class AttentionModel:
         h = y.reshape(-1, d) + z @ p["w2"]
         return h, (a, q, k, v, s, m, y, z)
 
-    def _states(self, x: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        """As _forward for the wanted places, with fewer passes over memory: scores are shifted only where exp needs it."""
+    def _states(self, x: np.ndarray, low: int, wanted: np.ndarray) -> np.ndarray:
+        """As _forward for the wanted ones of the places from low on, with fewer passes over memory: scores are shifted only where exp needs it."""
         p, scale = self.p, np.float32(1 / np.sqrt(WIDTH))
-        a = self.inputs[x]
+        a = self.inputs.take(x, axis=0)
         a += p["pos"]
         b, t, d = a.shape
+        own = a[:, low:].reshape(-1, d)
         a = a.reshape(-1, d)
-        q = (a @ (p["qkv"][:, :d] * scale)).reshape(b, t, d)
+        q = (own @ (p["qkv"][:, :d] * scale)).reshape(b, t - low, d)
         k, v = (a @ p["qkv"][:, d : 2 * d]).reshape(b, t, d), np.ones((b, t, d + 1), np.float32)
         v[:, :, :d] = (a @ p["qkv"][:, 2 * d :]).reshape(b, t, d)
         s = np.matmul(q, np.ascontiguousarray(k.transpose(0, 2, 1)))
         if s.max(initial=0) > 60:
-            s[:, self.seen == 0] = -np.inf
+            s[:, self.seen[low:] == 0] = -np.inf
             s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
-        s *= self.seen
-        m = np.matmul(s, v).reshape(-1, d + 1)[wanted]
-        a = a[wanted]
+        s *= self.seen[low:]
+        m = np.matmul(s, v).reshape(-1, d + 1).take(wanted, axis=0)
+        a = own.take(wanted, axis=0)
         a += (m[:, :d] / m[:, d:]) @ p["wo"]
         z = a @ p["w1"]
         z += p["b1"]
@@ -244,7 +292,7 @@ class AttentionModel:
         top = _shifted(h @ self.p["top"] + self.p["edge"])
         out = top[each, group]
         out -= np.log(np.exp(top, out=top) @ np.ones(top.shape[1], np.float32))
-        own, right, within = h[order], cls[order] % GROUP, np.empty((len(h), GROUP), np.float32)
+        own, right, within = h.take(order, axis=0), cls[order] % GROUP, np.empty((len(h), GROUP), np.float32)
         for at, rows in parts:
             np.matmul(own[rows], self.p["out"][:, at], out=within[rows])
             within[rows] += self.p["bias"][at]
@@ -264,17 +312,20 @@ class AttentionModel:
 
         p, (group, order, parts) = self.p, self._parts(cls)
         e = residual(h @ p["top"] + p["edge"], group, weight)
-        g = {"top": h.T @ e, "edge": e.sum(axis=0), "out": np.zeros_like(p["out"]), "bias": np.zeros_like(p["bias"])}
+        ones = np.ones(len(h), np.float32)
+        g = {"top": h.T @ e, "edge": ones @ e, "out": np.zeros_like(p["out"]), "bias": np.zeros_like(p["bias"])}
         dh = e @ p["top"].T
-        own, back, e = h[order], np.empty_like(h), np.empty((len(h), GROUP), np.float32)
+        own, back, e = h.take(order, axis=0), np.empty_like(h), np.empty((len(h), GROUP), np.float32)
         for at, rows in parts:
             np.matmul(own[rows], p["out"][:, at], out=e[rows])
             e[rows] += p["bias"][at]
         e = residual(e, cls[order] % GROUP, weight[order])
         for at, rows in parts:
-            g["out"][:, at], g["bias"][at] = own[rows].T @ e[rows], e[rows].sum(axis=0)
+            g["out"][:, at], g["bias"][at] = own[rows].T @ e[rows], ones[rows] @ e[rows]
             np.matmul(e[rows], p["out"][:, at].T, out=back[rows])
-        dh[order] += back
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        dh += back.take(place, axis=0)
         return dh, g
 
     def fit(self, ids: np.ndarray, ro: np.ndarray, batch: int = 192, rate: float = 0.015, seed: int = 6) -> AttentionModel:
@@ -296,12 +347,12 @@ class AttentionModel:
                 b, tt, d = a.shape
                 dh, g = self._output_gradient(h, self.cls[y.ravel()], (good.ravel() / np.float32(good.sum())).astype(np.float32))
                 dz = (dh @ p["w2"].T) * (z > 0)
-                g |= {"w2": z.T @ dh, "w1": yy.reshape(-1, d).T @ dz, "b1": dz.sum(axis=0)}
+                g |= {"w2": z.T @ dh, "w1": yy.reshape(-1, d).T @ dz, "b1": np.ones(len(dz), np.float32) @ dz}
                 dy = dh + dz @ p["w1"].T
                 g["wo"] = mm.reshape(-1, d).T @ dy
                 dm = (dy @ p["wo"].T).reshape(b, tt, d)
                 ds = np.matmul(dm, v.transpose(0, 2, 1))
-                ds -= (dm * mm).sum(axis=2, keepdims=True)  # the sum of ds * s: mm is s times v
+                ds -= np.einsum("btd,btd->bt", dm, mm)[:, :, None]  # the sum of ds * s: mm is s times v
                 ds *= s
                 ds *= np.float32(1 / np.sqrt(d))
                 dqkv = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(s.transpose(0, 2, 1), dm)], axis=2).reshape(-1, 3 * d)
@@ -311,7 +362,7 @@ class AttentionModel:
                 flat = x.ravel()
                 order = np.argsort(flat.astype(np.uint16), kind="stable")  # N_IDS < 2**16: a radix sort
                 used, first = np.unique(flat[order], return_index=True)
-                de = np.add.reduceat(da.reshape(-1, d)[order], first)
+                de = np.add.reduceat(da.reshape(-1, d).take(order, axis=0), first)
                 g["cls"] = np.zeros_like(p["cls"])
                 np.add.at(g["cls"], self.cls[used], de)
                 t += 1
@@ -335,14 +386,15 @@ class AttentionModel:
         before = np.concatenate([[END], ids[:-1]]).astype(np.int32)
         before[ro[:-1]] = END
         places = np.arange(WINDOW)
-        for k in range(0, len(start), batch):
-            at = start[k : k + batch, None] + places
-            good = (at < end[k : k + batch, None]) & (places >= skip[k : k + batch, None])
-            np.minimum(at, len(ids) - 1, out=at)
-            wanted = np.flatnonzero(good)
-            x, at = before[at], at.ravel()[wanted]
-            y = ids[at]
-            out[at] = self.log_classes(self._states(x, wanted), self.cls[y]) + self.log_in[y]
+        for low in np.unique(skip):  # a row's first window scores all its places, others those from low on
+            here = np.flatnonzero(skip == low)
+            for k in range(0, len(here), batch):
+                at, stop = start[here[k : k + batch], None] + places, end[here[k : k + batch], None]
+                wanted = np.flatnonzero(at[:, low:] < stop)
+                np.minimum(at, len(ids) - 1, out=at)
+                x, at = before[at], at[:, low:].ravel()[wanted]
+                y = ids[at]
+                out[at] = self.log_classes(self._states(x, low, wanted), self.cls[y]) + self.log_in[y]
         return out
 
     def rows(self) -> np.ndarray:

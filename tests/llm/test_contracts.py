@@ -297,6 +297,19 @@ def test_scoring_is_the_trained_function():
                 assert abs(got[s + j] - want) < 2e-3 * max(1, abs(got[s + j]))
 
 
+def test_words_encoded_together_are_as_alone():
+    rng = random.Random(3)
+    letters = ["a", "B", "é", "1", "'", "s", "\xa0", "\u3000", "\u2003", "\x85", "\x1c", "用", "-", "\u200b", "_", "re"]
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 6))).encode() for _ in range(4000)]
+    encode = lm_scoring.tokenizer(lm_scoring.VOCABULARY).encode_ordinary
+    for some in (words, [*words[:50], b"\xff\xfe", b"x" * 3000], [b"A"], []):
+        data, n = np.frombuffer(b" ".join(some) + b" ", np.uint8), np.array([len(w) for w in some], np.int64)
+        end = np.cumsum(n + 1) - 1
+        ids, size = lm_scoring.encode_words(lm_scoring.VOCABULARY, data, end - n, end)
+        want = [encode(" " + re.sub(rb"[A-Z]", lambda m: m.group().lower(), w).decode("utf-8", "replace")) for w in some]
+        assert size.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
 def test_output_gradient_against_differences():
     rng = np.random.default_rng(9)
     model = lm_scoring.AttentionModel(rng.integers(0, 50, lm_scoring.N_IDS).astype(float), np.arange(lm_scoring.N_IDS) % 2 == 0)
