@@ -4,19 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..durable import ensure_checkpoints, kept
+from ..durable import ensure_checkpoints, kept, small_batches
 
-__all__ = ["ensure_checkpoints", "kept"]
+__all__ = ["ensure_checkpoints", "kept", "small_batches"]
 
 #: Words are runs of anything but ASCII white space.
 WORD_RE = r"[^\x20\x09-\x0D]+"
-#: Rows an Arrow batch may hold; bounds a Python worker's memory with long texts.
-BATCH_ROWS = "512"
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of few rows, for the session: Spark reads the setting when a lazy result runs, so it can't be put back here."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
