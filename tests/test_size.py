@@ -2,11 +2,15 @@
 
 import random
 import re
+import time
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
+from polyseg.functions import text as T
 from polyseg.functions.classes import CHINESE
-from polyseg.operators import extract
+from polyseg.operators import checks, extract, memory, rewrite
+from polyseg.plans import queries
 
 ODD = ["用", "户", " ", "a", "\n", "é", "。", "--", "-", "/", "//", "#", "　", "、", "(", '"', "'", "`", "```", "~~~", "<", ">", "\U0001f600", " ", "\xa0", "\r", "\x1c", "](", "[", ")", "http://x ", "/*", "*/", "\\"]
 RUN = re.compile("[一-鿿　-〿＀-￯](?:[一-鿿　-〿＀-￯\\s,.:;()'\"-]*[一-鿿　-〿＀-￯])?")
@@ -40,3 +44,32 @@ def test_spans_come_in_bounded_batches():
     batch = pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array(["用a" * 50_000] * 100)], ["file", "text"])
     sizes = [len(b) for b in extract._rows(CHINESE, extract.markdown_ranges, "file")([batch])]
     assert sum(sizes) == 5_000_000 and max(sizes) <= 6 * 50_000
+
+
+def test_headings_in_the_row(spark):
+    """Slugs of plain and odd heading lines, without a shuffle of lines."""
+    rng = random.Random(2)
+    parts = ["#", "##", " ", "  ", "a", "Bc", "-", "_", "!", "\t", "é", "用", "```", "~~~", "\n", "\r\n", " ", "\x0b", "#######"]
+    texts = ["".join(rng.choice(parts) for _ in range(60)) for _ in range(300)] + ["## a b ##  \n### -C! d-\n####### no\n#no\n   # yes #\n    # no"]
+    files = spark.createDataFrame(list(enumerate(texts)), "file int, text string")
+    found = checks.headings(files)
+    assert not re.search("Window|Exchange", found._jdf.queryExecution().executedPlan().toString())
+    rows = found.withColumn("want", T.heading_slug(F.col("line"))).collect()
+    atx, want = re.compile(r"[ \t]{0,3}#{1,6}[ \t]"), []
+    for i, t in enumerate(texts):
+        fenced = False
+        for pos, line in enumerate(t.splitlines()):
+            if re.match(r"\s*(```|~~~)", line):
+                fenced = not fenced
+            elif not fenced and atx.match(line):
+                want.append((i, pos, line))
+    assert sorted((r.file, r.pos, r.line) for r in rows) == want and [r.slug for r in rows] == [r.want for r in rows]
+    assert [r.slug for r in rows if r.file == 300] == ["a-b", "c-d", "yes"]
+
+
+def test_pages(spark):
+    """Pages made over bytes are those made by columns."""
+    text = "Ab, é cd-\n  #x y_z!\n\nlast 用 e"
+    want = ["## Ab  cd-", "[a](#ab--cd) [b](#x-yz) [c](../docs/1.md#x) [d](https://e.org)   x yz", "```\n## \n[e](gone.md)\n```", "## last  e"]
+    assert queries._page_text(text.encode(), False).decode() == "\n".join(want)
+    assert queries._page_text(text.encode(), True).decode().split("\n")[-1] == "## lest  o"
