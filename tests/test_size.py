@@ -46,6 +46,36 @@ def test_spans_come_in_bounded_batches():
     assert sum(sizes) == 5_000_000 and max(sizes) <= 6 * 50_000
 
 
+def test_first_of_each_hash_and_hashes(spark):
+    files = spark.createDataFrame([(k, f"用{'户' * (k % 3)} a　用\n名{k % 5}用　用") for k in range(40, 0, -1)], "file int, text string")
+    spans = extract.extract_lines(files)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(memory.distinct_segments(extract.firsts(files))) == rows(memory.distinct_segments(spans))
+    assert rows(extract.hashes(files)) == rows(spans.select("file", "h").distinct())
+
+
+def test_splice_of_a_long_text(spark):
+    """30,000 edits in one text: a fold that copies its result at every edit takes minutes."""
+    raw = "// 用a。户b\n" * 15_000
+    files = spark.createDataFrame([("a.go", raw.encode())], "file string, content binary")
+    spans = extract.extract_lines(files.select("file", F.col("content").cast("string").alias("text")))
+    known = memory.distinct_segments(spans).select("h", F.lit("Xy").alias("en"))
+    began = time.time()
+    one = rewrite.splice(files, extract.occurrences(spans), known).first()
+    two = rewrite.splice_lines(files, known).first()
+    plain = rewrite.splice_plain(files.select("file", F.col("content").cast("string").alias("text")), known).first()
+    assert time.time() - began < 60 and one == two and one.n == plain.n == 30_000
+    assert bytes(one.content).decode() == plain.text == "// XyaXyb\n" * 15_000
+
+
+def test_padding_in_python(spark):
+    """Every value between every pair of neighbours, against the column's rules."""
+    values, sides = ["Xy", "x", "", "ab", "URL\n"], ["", "URL", "URL\n", "。", "，x", "a", "JSONURL\r\n", "（"]
+    rows = [(v, b, a) for v in values for b in sides for a in sides]
+    got = spark.createDataFrame(rows, "v string, b string, a string").select("v", "b", "a", T.pad_boundary(F.col("v"), F.col("b"), F.col("a")).alias("p")).collect()
+    assert [rewrite._pad(r.v, r.b.encode(), r.a.encode()) for r in got] == [r.p for r in got]
+
+
 def test_headings_in_the_row(spark):
     """Slugs of plain and odd heading lines, without a shuffle of lines."""
     rng = random.Random(2)
