@@ -3,6 +3,7 @@
 import random
 import re
 import time
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -103,3 +104,15 @@ def test_pages(spark):
     want = ["## Ab  cd-", "[a](#ab--cd) [b](#x-yz) [c](../docs/1.md#x) [d](https://e.org)   x yz", "```\n## \n[e](gone.md)\n```", "## last  e"]
     assert queries._page_text(text.encode(), False).decode() == "\n".join(want)
     assert queries._page_text(text.encode(), True).decode().split("\n")[-1] == "## lest  o"
+
+
+def test_composition_sends_only_what_it_may_change(spark):
+    """Python gets no text that composition leaves as it is, and the pattern of those is right for every character."""
+    texts = ["plain", "", None, "用户，名", "é", "Ω", "ẋ̣", "〪〭", " ", "가", "é用"]
+    frame = spark.createDataFrame([(t,) for t in texts], "c string")
+    assert [r[0] for r in frame.select(T.nfc(F.col("c"))).collect()] == [t and unicodedata.normalize("NFC", t) for t in texts]
+    assert "CASE WHEN" in frame.select(T.nfc(F.col("c")))._jdf.queryExecution().optimizedPlan().toString()
+    kept = re.compile(T.NOT_COMPOSED.replace("[^", "[").replace(r"\x{0}", r"\x00").replace(r"\x{2ff}", "˿").replace(r"\x{", "\\u").replace("}", ""))
+    parts = [unicodedata.decomposition(chr(c)).split() for c in range(0x110000)]
+    joined = {int(p[1], 16) for p in parts if len(p) == 2 and p[0][0] != "<"} | {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}
+    assert not [c for c in range(0x110000) if kept.match(chr(c)) and (unicodedata.combining(chr(c)) or c in joined or unicodedata.normalize("NFC", chr(c)) != chr(c))]
